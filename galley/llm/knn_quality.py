@@ -76,7 +76,9 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     codes = np.fromiter(map(_memo().__getitem__, words + extra), np.int64, len(words) + len(extra))
     w, wc = np.unique(codes // SHAPES, return_counts=True)
     s, sc = np.unique(codes % SHAPES, return_counts=True)
-    facts = [f"\x00repeat{min(4, int(5 * (1 - len(set(lines)) / len(lines))))}", f"\x00size{len(words).bit_length()}"]
+    n = max(1, len(words))
+    facts = [f"\x00lines{int(4.99 * (1 - len(set(lines)) / len(lines)))}", f"\x00size{len(words).bit_length()}",
+             f"\x00same{int(4.99 * sum(map(str.__eq__, words, words[1:])) / n)}", f"\x00few{int(4.99 * (1 - len(w) / n))}"]
     f = np.array([WORDS + zlib.crc32(x.encode()) % SHAPES for x in facts])
     return np.concatenate([w, WORDS + s, f]), np.concatenate([wc, sc, np.full(len(f), max(1, len(words) // 8))])
 

@@ -20,6 +20,7 @@ rows are packed as often as they occur; an empty table gives no rows; other colu
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
@@ -38,7 +39,7 @@ CAPACITY = 2048
 SLACK = 64  # the last piece may fall short of its class by 1/SLACK
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-MEMO_ITEMS = 1_000_000
+MEMO_ITEMS = 700_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -47,24 +48,45 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: Letters that lower-case and normalise one by one, then marks that the tokenizer cuts off.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{-~]*)")
+
+
+class Memo(dict):
+    """Chunk to the bytes of its ids.  Letters with marks behind them are put together from the
+    entries of the lower-case letters and of the marks, so fewer chunks reach the tokenizer.  When
+    full, the memo starts anew over the entries of the last generation."""
+
+    def __init__(self, tokenizer, simple):
+        super().__init__({"": b""})
+        self.tokenizer, self.simple, self.last = tokenizer, simple, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.last.get(chunk)
+        if ids is None:
+            letters, marks = m.groups() if (m := self.simple(chunk)) else (None, None)
+            if marks:
+                ids = self[letters.lower()] + self[marks]
+            elif letters and letters != (low := letters.lower()):
+                ids = self[low]
+            else:
+                ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(chunk) <= 200:
+            if len(self) >= MEMO_ITEMS:
+                self.last = dict(self)
+                self.clear()
+                self[""] = b""
+            self[chunk] = ids
+        return ids
+
+
 def token_encoder(path: str):
     """text to little-endian uint32 ids, as bytes; the memo lives as long as the worker."""
     cache = sys.modules.setdefault("_galley_tokens", types.ModuleType("_galley_tokens"))
     if path not in cache.__dict__:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-
-        class Memo(dict):
-            def __missing__(self, chunk: str) -> bytes:
-                if len(self) >= MEMO_ITEMS:
-                    self.clear()
-                ids = np.array(tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes() if chunk else b""
-                if len(chunk) <= 200:
-                    self[chunk] = ids
-                return ids
-
-        cache.__dict__[path] = Memo()
+        cache.__dict__[path] = Memo(Tokenizer.from_file(path), _SIMPLE.fullmatch)
     memo = cache.__dict__[path]
 
     def encode(text: str | None) -> bytes:

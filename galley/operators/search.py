@@ -39,13 +39,13 @@ def page_of_article(scans: DataFrame, article_id: str, scan_id: str = "scan_id")
 
 
 def co_printed(articles: DataFrame, page: str, article: str) -> DataFrame:
-    """(article, other): pairs of different articles on one page."""
+    """(page, article, other): pairs of different articles on one page."""
     other = articles.select(page, F.col(article).alias("other"))
     return articles.select(page, article).join(other, page).where(F.col(article) != F.col("other"))
 
 
 def edition_mates(articles: DataFrame, edition: list[str], article: str) -> DataFrame:
-    """The same over all pages of an edition."""
+    """(edition, article, other): the same over all pages of an edition."""
     other = articles.select(*edition, F.col(article).alias("other"))
     return articles.select(*edition, article).join(other, edition).where(F.col(article) != F.col("other"))
 

@@ -21,8 +21,6 @@ very long texts are read whole; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 import re
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import staged
+from .worker import memo
 
 WORDS, SHAPES = 1 << 14, 1 << 12
 SIZE = WORDS + SHAPES
@@ -41,9 +40,9 @@ K = 25
 PRIOR = 0.2
 THRESHOLD = 0.7
 SEED = 7
-BLOCK = 512
+BLOCK = 256
 SHAPE_WEIGHT, WORD_WEIGHT = 1.0, 0.5
-MEMO_ITEMS = 500_000
+MEMO_ITEMS = 300_000
 
 def shape_of(word: str) -> str:
     """Casing, digits and symbols of a word, runs cut to two: ``THE!!`` is ``AA!!``."""
@@ -51,20 +50,16 @@ def shape_of(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1\1", marks)[:12]
 
 
-def _memo() -> dict:
-    home = sys.modules.setdefault("_galley_words", types.ModuleType("_galley_words"))
-    if "memo" not in home.__dict__:
-        class Memo(dict):
-            def __missing__(self, word: str) -> int:
-                if len(self) >= MEMO_ITEMS:
-                    self.clear()
-                code = zlib.crc32(word.lower().encode()) % WORDS * SHAPES + zlib.crc32(shape_of(word).encode()) % SHAPES
-                if len(word) <= 100:
-                    self[word] = code
-                return code
+class WordCodes(dict):
+    """Word to its word and shape features in one number."""
 
-        home.__dict__["memo"] = Memo()
-    return home.__dict__["memo"]
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MEMO_ITEMS:
+            self.clear()
+        code = zlib.crc32(word.lower().encode()) % WORDS * SHAPES + zlib.crc32(shape_of(word).encode()) % SHAPES
+        if len(word) <= 100:
+            self[word] = code
+        return code
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +68,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     lines = text.split("\n")
     words = text.split()
     extra = ["\x00empty"] if not words else []
-    codes = np.fromiter(map(_memo().__getitem__, words + extra), np.int64, len(words) + len(extra))
+    codes = np.fromiter(map(memo("word codes", WordCodes).__getitem__, words + extra), np.int64, len(words) + len(extra))
     w, wc = np.unique(codes // SHAPES, return_counts=True)
     s, sc = np.unique(codes % SHAPES, return_counts=True)
     n = max(1, len(words))

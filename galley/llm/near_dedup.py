@@ -7,8 +7,9 @@ BANDS keys, each the hash of the ROWS least shingles under a seeded permutation,
 probability J ** ROWS (all BANDS miss a pair at 0.8 once in 400).  Every candidate is verified by
 the exact Jaccard similarity of the whole texts' shingle sets.
 
-A key's members are never paired with each other: its least member leads, all others are
-verified against it, those that fail form the key's next group, and so on until none is left.
+A key's members are not paired with each other: its least member leads, all others are verified
+against it, and those that fail form the key's next group, which has twice as many leaders, and
+so on until none is left.
 
 Equal texts (after lower-casing A-Z and collapsing blanks) are collapsed first.  Of each group the
 row with the least id stays (null ids last); rows that repeat id and text count as one.  Null
@@ -24,14 +25,17 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import connected_components
 from .simhash import _UPPER, fingerprint, fingerprint_links, shingle_hashes
 from .staging import key_of, small_side, staged
+from .worker import forget
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 6
+DESCRIBE_ROWS, VERIFY_ROWS = 1000, 250  # rows of an Arrow batch with texts
 _ODD = np.random.default_rng(11).integers(1, 1 << 63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -54,6 +58,7 @@ def described(rows: DataFrame, shingle: int) -> DataFrame:
     """(k, id, t) to (k, id, same, fp, keys)."""
     @F.pandas_udf("same string, fp long, keys array<long>")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget()
         for s in texts:
             out = []
             for t in s:
@@ -82,17 +87,21 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
 
 
 def similar_links(groups: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> list[DataFrame]:
-    """Staged (key, node) memberships to verified links (a, b)."""
-    links = []
+    """Staged (key, node) memberships to verified links (a, b).  Round r has 2 ** r leaders per key."""
+    links, leaders = [], 1
     while True:
-        lead = groups.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        lead = groups.withColumn("r", rank).where(F.col("r") <= leaders).select("key", F.col("node").alias("a"))
+        lead = staged(lead, "leaders")
         rest = staged(groups.join(lead, "key").where("node > a").select("key", "a", F.col("node").alias("b")), "rest")
-        pairs = rest.select("a", "b").distinct()
-        done = staged(verified(pairs, texts, shingle, similarity), "verified")
+        done = staged(verified(rest.select("a", "b").distinct(), texts, shingle, similarity), "verified", VERIFY_ROWS)
         links.append(done.where("ok").select("a", "b"))
-        groups = staged(rest.join(done.where("NOT ok"), ["a", "b"]).select("key", F.col("b").alias("node")), "groups")
-        if groups.limit(1).count() == 0:
+        others = rest.join(lead.withColumnRenamed("a", "b"), ["key", "b"], "left_anti")
+        open_ = others.join(done, ["a", "b"]).groupBy("key", "b").agg(F.max("ok").alias("ok")).where("NOT ok")
+        groups = staged(open_.select("key", F.col("b").alias("node")), "groups")
+        if groups.isEmpty():
             return links
+        leaders *= 2
 
 
 def row_key(id_col: str, text_col: str) -> object:
@@ -102,7 +111,8 @@ def row_key(id_col: str, text_col: str) -> object:
 def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates; all columns stay."""
     k = row_key(id_col, text_col)
-    rows = staged(described(docs.select(k.alias("k"), F.col(id_col).alias("id"), F.col(text_col).alias("t")), shingle), "described")
+    rows = staged(described(docs.select(k.alias("k"), F.col(id_col).alias("id"), F.col(text_col).alias("t")), shingle), "described", DESCRIBE_ROWS)
+    repeats = not rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").isEmpty()  # rows with one id and text
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("k")))
     points = rows.groupBy("same").agg(first.alias("first"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys"))
     points = staged(points.select("first", "fp", "keys", F.monotonically_increasing_id().alias("node")), "points")
@@ -114,7 +124,7 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     groups = staged(groups.join(shared, "key").distinct(), "groups")
     wanted = points.join(groups.select("node").distinct(), "node").select("node", F.col("first.k").alias("k"))
     texts = docs.select(k.alias("k"), F.col(text_col).alias("t")).join(small_side(staged(wanted, "wanted")), "k")
-    texts = staged(texts.dropDuplicates(["node"]) if _repeats(rows) else texts, "texts").select("node", "t")
+    texts = staged(texts.dropDuplicates(["node"]) if repeats else texts, "texts").select("node", "t")
     links = similar_links(groups, texts, shingle, similarity)
     union = links[0]
     for more in links[1:]:
@@ -123,9 +133,4 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     keepers = points.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     gone = staged(rows.select("k").join(keepers.select("first.k"), "k", "left_anti").distinct().withColumnRenamed("k", "__k"), "gone")
     kept = docs.withColumn("__k", k).join(small_side(gone), "__k", "left_anti")
-    return (kept.dropDuplicates(["__k"]) if _repeats(rows) else kept).drop("__k")
-
-
-def _repeats(rows: DataFrame) -> bool:
-    """Whether rows repeat both id and text."""
-    return not rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    return (kept.dropDuplicates(["__k"]) if repeats else kept).drop("__k")

@@ -21,8 +21,6 @@ rows are packed as often as they occur; an empty table gives no rows; other colu
 from __future__ import annotations
 
 import re
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 
@@ -34,12 +32,14 @@ from pyspark.sql.window import Window
 
 from .sharding import bucket_count
 from .staging import small_side, staged
+from .worker import memo
 
 CAPACITY = 2048
 SLACK = 64  # the last piece may fall short of its class by 1/SLACK
 END = 1
 TOKENIZER = "word_bpe_49k.json"
 MEMO_ITEMS = 700_000
+BATCH_ROWS = 2000  # of an Arrow batch with texts
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -82,16 +82,16 @@ class Memo(dict):
 
 def token_encoder(path: str):
     """text to little-endian uint32 ids, as bytes; the memo lives as long as the worker."""
-    cache = sys.modules.setdefault("_galley_tokens", types.ModuleType("_galley_tokens"))
-    if path not in cache.__dict__:
+    def make() -> Memo:
         from tokenizers import Tokenizer
 
-        cache.__dict__[path] = Memo(Tokenizer.from_file(path), _SIMPLE.fullmatch)
-    memo = cache.__dict__[path]
+        return Memo(Tokenizer.from_file(path), _SIMPLE.fullmatch)
+
+    known = memo(f"tokens of {path}", make)
 
     def encode(text: str | None) -> bytes:
         chunks = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(memo.__getitem__, chunks))
+        return b"".join(map(known.__getitem__, chunks))
 
     return encode
 
@@ -156,7 +156,7 @@ def first_fit(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
 def pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset per piece."""
     made = pieces_of(docs, id_col, text_col, path or tokenizer_path())
-    rows = staged(made.withColumn("__id", F.monotonically_increasing_id()), "pieces")
+    rows = staged(made.withColumn("__id", F.monotonically_increasing_id()), "pieces", BATCH_ROWS)
     buckets = bucket_count(rows.count())
     rows = rows.withColumn("__b", F.pmod(F.xxhash64("__id"), F.lit(buckets)))
     counts = staged(rows.groupBy("k", "__b").agg(F.count("*").alias("__c")), "counts")

@@ -38,6 +38,7 @@ RADIUS = 2
 SAMPLE = 32_768
 SHARD_POINTS = 512
 LEAF = 192
+BATCH_ROWS = 2000  # of an Arrow batch with texts
 SEED = 42
 
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -218,7 +219,7 @@ def fingerprint_links(points: DataFrame, fp: str = "fp") -> DataFrame:
 
 def simhash_components(docs: DataFrame, id_col="doc_id", text_col="text", k: int = 3) -> DataFrame:
     """Per row: id, fp (signed 64-bit) and the least id reachable by links."""
-    rows = staged(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), "t", k).drop("t"), "fingerprints")
+    rows = staged(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), "t", k).drop("t"), "fingerprints", BATCH_ROWS)
     points = staged(rows.groupBy("fp").agg(F.min("id").alias("least")), "points")
     comp = staged(connected_components(fingerprint_links(points), "a", "b"), "components")
     points = points.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))

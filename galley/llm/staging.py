@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when its counted rows are at most this many (narrow rows: some MB).
 BROADCAST_ROWS = 100_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,11 +37,19 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/galley-{uuid.uuid4().hex}/{label}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
+def staged(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back.  ``batch_rows`` bounds the rows of an
+    Arrow batch while it is written, for Python stages over long texts."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    try:
+        if batch_rows:
+            spark.conf.set(_BATCH, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        if batch_rows:
+            spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -371,10 +371,9 @@ def first_n(spark, sf_dir):
     return windows.first_n(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], 25)
 
 
-@query("SELECT p_partkey FROM (SELECT p_partkey, p_size, coalesce(sum(p_size) OVER (ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM part WHERE p_partkey >= 10 AND p_partkey < 500) WHERE before < 1000")
+@query("SELECT p_partkey FROM (SELECT p_partkey, p_size, coalesce(sum(p_size) OVER (ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM part WHERE p_partkey >= 10) WHERE before < 4000")
 def batches_up_to(spark, sf_dir):
-    b = table(spark, sf_dir, "part").where("p_partkey < 500")  # the batches of the example
-    return catalogue_xml.batches_up_to(b, "p_size", 10, 1000, "p_partkey").select("p_partkey")
+    return catalogue_xml.batches_up_to(table(spark, sf_dir, "part"), "p_size", 10, 4000, "p_partkey").select("p_partkey")
 
 
 @query("SELECT label, vec_id FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM embeddings) WHERE r <= 5")
@@ -390,11 +389,11 @@ def exhaustive_groups(spark, sf_dir):
     return g.groupBy("label").agg(F.count_distinct("group").alias("groups"), F.count("*").alias("slots"), F.count_distinct("vec_id").alias("items"))
 
 
-@query("SELECT 'train' AS a, 'test' AS b, count(*) AS n FROM (SELECT doc_id FROM documents WHERE doc_id % 3 = 0 INTERSECT SELECT doc_id FROM documents WHERE doc_id % 3 = 1)")
+@query("SELECT 'good' AS a, 'toxic' AS b, count(*) AS n FROM (SELECT doc_id FROM labels WHERE quality = 1 INTERSECT SELECT doc_id FROM labels WHERE toxic = 1)")
 def split_disjoint(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id")
-    a, b = d.where("doc_id % 3 = 0"), d.where("doc_id % 3 = 1")
-    return a.intersect(b).agg(F.count("*").alias("n")).select(F.lit("train").alias("a"), F.lit("test").alias("b"), "n")
+    marks = table(spark, sf_dir, "labels")
+    a, b = marks.where("quality = 1").select("doc_id"), marks.where("toxic = 1").select("doc_id")
+    return a.intersect(b).agg(F.count("*").alias("n")).select(F.lit("good").alias("a"), F.lit("toxic").alias("b"), "n")
 
 
 @query(LAYOUT + "SELECT scan_id, id, class FROM lay WHERE class = 'article' UNION ALL SELECT scan_id, id, class FROM lay WHERE class = 'headline'")
@@ -409,15 +408,17 @@ def except_ids(spark, sf_dir):
 
 
 # Vectors ---------------------------------------------------------------------------------------
-_KNN = """WITH r AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
-p AS (SELECT q.vec_id AS query_id, r.vec_id AS ref_id, list_inner_product(q.v, r.v) AS sim FROM r q JOIN r ON q.vec_id % 10 <> 0 AND r.vec_id % 10 = 0),
-t AS (SELECT query_id, arg_max(ref_id, sim) AS ref_id, max(sim) AS sim FROM p GROUP BY 1) """
+_KNN = """WITH u AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+r AS (SELECT *, sqrt(list_inner_product(v, v)) AS norm, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS n FROM u),
+p AS (SELECT q.vec_id AS query_id, r.vec_id AS ref_id, list_inner_product(q.v, r.v) / (q.norm * r.norm) AS sim FROM r q JOIN r ON r.n <= 5),
+t AS (SELECT query_id, arg_max(ref_id, (sim, -ref_id)) AS ref_id, max(sim) AS sim FROM p GROUP BY 1) """
 
 
 def _nearest(spark, sf_dir):
+    """Every vector against a reference index of five samples of each class."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"), "label")
-    refs = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("ref_id"), F.col("label").cast("string").alias("label"), "vec")
-    return knn.nearest(e.where("vec_id % 10 <> 0").select(F.col("vec_id").alias("query_id"), "vec"), refs)
+    refs = sampling.m_per_class(e, "label", "vec_id", 5, seed=None).select(F.col("vec_id").alias("ref_id"), F.col("label").cast("string").alias("label"), "vec").dropDuplicates(["ref_id"])
+    return knn.nearest(e.select(F.col("vec_id").alias("query_id"), "vec"), refs)
 
 
 @query(_KNN + "SELECT query_id, ref_id, round(sim, 4) AS sim FROM t")
@@ -514,36 +515,37 @@ def edition_ids(spark, sf_dir):
     return o.select("o_orderkey", T.edition_id(F.col("d")).alias("edition"), T.edition_parts(F.concat("d", F.lit("01")))["date"].alias("date"))
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n, min(l_partkey) AS c FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n, min(l_partkey) AS c FROM lineitem GROUP BY 1, 2")
 def yolo_lines(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
+    li = table(spark, sf_dir, "lineitem")
     y = T.yolo_line(F.concat_ws(" ", F.col("l_partkey").cast("string"), F.lit("0.5 0.5 0.1 0.1")))
     return li.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.min(y["c"]).cast("long").alias("c"))
 
 
-_ASCII = "regexp_replace(text, '[^\\x01-\\x7F]', '', 'g')"
-
-
-@query(f"""WITH p AS (SELECT left({_ASCII}, 300) AS g, left(translate({_ASCII}, 'ae', 'oi'), 290) AS p FROM documents)
-SELECT count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (WHERE trim(g, ' ') = trim(p, ' ')) / count(*), 6) AS accuracy, round(sum(levenshtein(trim(g, ' '), trim(p, ' ')))::DOUBLE / sum(length(g))::DOUBLE, 6) AS cer FROM p""")
+@query("""WITH a AS (SELECT regexp_replace(text, '[^\\x01-\\x7F]', '', 'g') AS t FROM conversations),
+p AS (SELECT t AS raw, trim(replace(replace(t, '''''', '"'), '``', '"'), ' ') AS g, trim(replace(replace(replace(translate(t, 'ae', 'oi'), 'th', 't'), '''''', '"'), '``', '"'), ' ') AS p FROM a)
+SELECT count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (WHERE g = p) / count(*), 6) AS accuracy, round(sum(levenshtein(g, p))::DOUBLE / sum(length(raw))::DOUBLE, 6) AS cer FROM p""")
 def cer_eval(spark, sf_dir):
     a = F.regexp_replace("text", r"[^\x01-\x7F]", "")
-    pairs = table(spark, sf_dir, "documents").select(F.substring(a, 1, 300).alias("gold"), F.substring(F.translate(a, "ae", "oi"), 1, 290).alias("pred"))
+    pairs = table(spark, sf_dir, "conversations").select(a.alias("gold"), F.replace(F.translate(a, "ae", "oi"), F.lit("th"), F.lit("t")).alias("pred"))
     s = evaluate.text_scores(pairs)
     return s.select("n", F.round("accuracy", 6).alias("accuracy"), F.round("cer", 6).alias("cer"))
 
 
-_EDGES = LAYOUT + """, e AS (SELECT h.scan_id, least(h.id, a.id) AS a, greatest(h.id, a.id) AS b, (h.id + a.id) % 3 AS k, (h.id + a.id) % 4 AS m FROM lay h JOIN lay a ON h.scan_id = a.scan_id AND h.class = 'headline' AND a.class = 'article'),
-g AS (SELECT DISTINCT scan_id, a, b FROM e WHERE k <> 0), p AS (SELECT DISTINCT scan_id, a, b FROM e WHERE m <> 1 AND scan_id IN (SELECT scan_id FROM g)),
+_EDGES = LAYOUT + _INTERVAL + f""", c AS (SELECT h.scan_id, h.id, arg_min(a.id, (a.y0, a.id)) AS a_id FROM pg h JOIN pg a ON h.scan_id = a.scan_id AND h.class = 'headline' AND a.class = 'article'
+  AND (least(h.x1, a.x1) - greatest(h.x0, a.x0)) * 100 > h.page_w AND (h.y1 - a.y0) * 50 < h.page_h {_GAP} GROUP BY 1, 2),
+g AS (SELECT DISTINCT scan_id, least(h_id, id) AS a, greatest(h_id, id) AS b FROM m WHERE class = 'article'),
+p AS (SELECT DISTINCT scan_id, least(id, a_id) AS a, greatest(id, a_id) AS b FROM c WHERE scan_id IN (SELECT scan_id FROM g)),
 t AS (SELECT (SELECT count(*) FROM p SEMI JOIN g USING (scan_id, a, b)) AS tp, (SELECT count(*) FROM p ANTI JOIN g USING (scan_id, a, b)) AS fp, (SELECT count(*) FROM g ANTI JOIN p USING (scan_id, a, b)) AS fn)
 SELECT tp, fp, fn, round(100.0::DOUBLE * tp / (tp + fp), 1) AS precision, round(100.0::DOUBLE * tp / (tp + fn), 1) AS recall, round(2.0::DOUBLE * (100.0::DOUBLE * tp / (tp + fp)) * (100.0::DOUBLE * tp / (tp + fn)) / ((100.0::DOUBLE * tp / (tp + fp)) + (100.0::DOUBLE * tp / (tp + fn))), 1) AS f1 FROM t"""
 
 
 @query(_EDGES)
 def edge_prf(spark, sf_dir):
-    b = layout(spark, sf_dir).select("scan_id", "id", "class")
-    e = b.where("class = 'headline'").select("scan_id", F.col("id").alias("a")).join(b.where("class = 'article'").select("scan_id", F.col("id").alias("b")), "scan_id")
-    return evaluate.edge_scores(e.where("(a + b) % 4 <> 1"), e.where("(a + b) % 3 <> 0"), ["scan_id"])
+    """The association by distance, held against the association by padded intervals."""
+    found = association.associate(pages(spark, sf_dir), "headline").where("full_article_id IS NOT NULL")
+    gold = association.interval_matches(layout(spark, sf_dir))
+    return evaluate.edge_scores(found.select("scan_id", F.col("id").alias("a"), (F.col("full_article_id") - 1).alias("b")), gold.select("scan_id", F.col("h_id").alias("a"), F.col("id").alias("b")), ["scan_id"])
 
 
 @query(LAYOUT + "SELECT scan_id, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS edges FROM lay GROUP BY 1 HAVING count(*) > 1")
@@ -588,12 +590,13 @@ def event_windows(spark, sf_dir):
 
 
 # Spelling and XML over constructed input -------------------------------------------------------
-@query("SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM (SELECT doc_id, unnest(string_split(regexp_replace(left(text, 200), '[^A-Za-z ]+', '', 'g'), ' ')) AS w, generate_subscripts(string_split(regexp_replace(left(text, 200), '[^A-Za-z ]+', '', 'g'), ' '), 1) AS i FROM documents) GROUP BY doc_id")
+@query("SELECT doc_id, md5(regexp_replace(text, '[^A-Za-z \\n]+', '', 'g')) AS text FROM documents")
 def alto_text(spark, sf_dir):
-    w = F.split(F.regexp_replace(F.substring("text", 1, 200), "[^A-Za-z ]+", ""), " ")  # the constructed line
-    line = F.concat(F.lit("<alto:TextLine>"), F.array_join(F.transform(w, lambda x: F.concat(F.lit('<alto:String ID="s" CONTENT="'), x, F.lit('"/>'))), "<SP/>"), F.lit("</alto:TextLine>"))
-    d = table(spark, sf_dir, "documents").select("doc_id", line.alias("xml"))
-    return catalogue_xml.alto_text(d, keys=["doc_id"])
+    word = lambda x: F.concat(F.lit('<alto:String ID="s" CONTENT="'), x, F.lit('"/>'))
+    line = lambda x: F.concat(F.lit("<alto:TextLine>"), F.array_join(F.transform(F.split(x, " "), word), "<SP/>"), F.lit("</alto:TextLine>"))
+    xml = F.array_join(F.transform(F.split(F.regexp_replace("text", "[^A-Za-z \n]+", ""), "\n"), line), "\n")  # the constructed page
+    back = catalogue_xml.alto_text(table(spark, sf_dir, "documents").select("doc_id", xml.alias("xml")), keys=["doc_id"])
+    return back.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text"))
 
 
 @query()

@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import pad_left
 from ..schemas import INDEX_CHUNK, MANIFEST_CHUNK
+from .staging import small_side, staged
+
+
+def ranged(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows in ranges of ``order`` with __p (the range) and __m (rising within it), staged: the ranges
+    are sampled, so they must be fixed before anything is counted."""
+    part = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return staged(part.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id()), "ranged")
 
 
 def numbered(rows: DataFrame, order: list[str], out: str = "idx", partition_by: list[str] | None = None) -> DataFrame:
@@ -17,10 +25,7 @@ def numbered(rows: DataFrame, order: list[str], out: str = "idx", partition_by:
     """
     if partition_by:
         return rows.withColumn(out, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order)) - 1)
-    from .staging import small_side, staged
-
-    part = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
-    part = staged(part, "ranged")  # the ranges are sampled, so they must be fixed before counting
+    part = ranged(rows, order)
     counts = part.groupBy("__p").agg(F.count("*").alias("__n"), F.min("__m").alias("__f"))
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = staged(counts.select("__p", "__f", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o")), "offsets")
@@ -53,6 +58,12 @@ def run_positions(rows: DataFrame, key: str, order: list[str], partition_by: lis
 
 
 def up_to_total(rows: DataFrame, order: list[str], amount: str, limit: int) -> DataFrame:
-    """Rows in order until their amounts reach the limit, the one that reaches it included."""
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # one row per batch
-    return rows.withColumn("__before", F.coalesce(F.sum(amount).over(w), F.lit(0))).where(F.col("__before") < limit).drop("__before")
+    """Rows in order until their amounts (null counts 0, none below 0) reach the limit, the one that
+    reaches it included.  Only ranges that begin below the limit are summed row by row."""
+    part = ranged(rows, order)
+    sums = part.groupBy("__p").agg(F.sum(amount).alias("__a"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = staged(sums.select("__p", F.coalesce(F.sum("__a").over(before), F.lit(0)).alias("__o")).where(F.col("__o") < limit), "offsets")
+    within = Window.partitionBy("__p").orderBy("__m").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("__o") + F.coalesce(F.sum(amount).over(within), F.lit(0))
+    return part.join(small_side(starts), "__p").withColumn("__before", at).where(F.col("__before") < limit).drop("__p", "__m", "__o", "__before")

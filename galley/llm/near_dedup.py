@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .components import connected_components
+from ..operators.components import connected_components
 from .simhash import _UPPER, fingerprint, fingerprint_links, shingle_hashes
 from .staging import key_of, small_side, staged
 from .worker import forget

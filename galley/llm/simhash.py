@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from ..operators.components import connected_components
 from .staging import staged
 
 RADIUS = 2

@@ -1,70 +1,27 @@
-"""Written tables in the folder that the cluster shares, and size-checked broadcasts.
-
-``checkpoint()`` on a DataFrame evaluates it twice (once to count, once to write), so lineage is
-cut with a written Parquet table instead: one evaluation, columnar, readable after an executor
-is lost.  The folder is ``spark.checkpoint.dir``; only a local[*] session may go without one.
-"""
+"""Written tables and size-checked broadcasts, as ``operators.staging`` has them, with bounded Arrow batches."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from ..operators import staging as plain
+from ..operators.staging import key_of, new_path, small_side, unit_hash
 
-#: A side is broadcast only when its counted rows are at most this many (narrow rows: some MB).
-BROADCAST_ROWS = 100_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a private one in a local[*] session without it."""
-    where = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not where:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="galley-")
-        spark.conf.set("spark.checkpoint.dir", where)
-        atexit.register(shutil.rmtree, where.removeprefix("file://"), ignore_errors=True)
-    return where.rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/galley-{uuid.uuid4().hex}/{label}"
-
-
 def staged(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back.  ``batch_rows`` bounds the rows of an
     Arrow batch while it is written, for Python stages over long texts."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    before = spark.conf.get(_BATCH)
+    if not batch_rows:
+        return plain.staged(df, label)
+    conf = df.sparkSession.conf
+    before = conf.get(_BATCH)
+    conf.set(_BATCH, str(batch_rows))
     try:
-        if batch_rows:
-            spark.conf.set(_BATCH, str(batch_rows))
-        df.write.parquet(path)
+        return plain.staged(df, label)
     finally:
-        if batch_rows:
-            spark.conf.set(_BATCH, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (a staged table) with a broadcast hint if it has at most ``max_rows`` rows;
-    otherwise unchanged, so that the join shuffles and AQE may split skewed keys."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def key_of(col) -> object:
-    """A never-null text key of a column: null and every value stay apart."""
-    return F.when(col.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), col.cast("string")))
+        conf.set(_BATCH, before)
 
 
-def unit_hash(seed: int, *cols) -> object:
-    """A number in [0, 2**52) from the MD5 of the seed and the columns (nulls apart)."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[key_of(c) for c in cols])
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
+__all__ = ["key_of", "new_path", "small_side", "staged", "unit_hash"]

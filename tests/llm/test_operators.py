@@ -382,6 +382,23 @@ def test_top_k_is_exact(spark):
     assert topk.top_k(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e5, 3e9, 1e15])
+def test_top_k_of_large_components_and_many_blocks(spark, size):
+    rng = np.random.default_rng(6)
+    v = [(i, (rng.standard_normal(5) * size).tolist()) for i in range(700)]
+    v += [(1000 + i, [size, size, size, size, float(i)]) for i in range(40)]  # near ties
+    d = spark.createDataFrame(v, "vec_id long, embedding array<double>")
+    scaled = [(i, [int(np.floor(1024.0 * c)) for c in x]) for i, x in v]
+    clip = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    want = []
+    for i, q in scaled:
+        if i % 100 == 0:
+            s = sorted((-sum(a * b for a, b in zip(q, x)), j) for j, x in scaled if j != i)[:10]
+            want += [(i, r, j, clip(-s_)) for r, (s_, j) in enumerate(s, 1)]
+    got = topk.top_k(d, shard_rows=40, block_components=20)  # 19 shards in rounds, two blocks of queries
+    assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
+
+
 # 9 ---------------------------------------------------------------------------------------------
 def test_sharding(docs):
     got = sharding.shard_documents(docs, 4).toPandas()

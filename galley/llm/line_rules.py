@@ -2,17 +2,21 @@ r"""Quality rules with cross-document line frequency, in DataFrame functions onl
 
 Per document: word, symbol, duplicate-line and repeated-word counts.  Across documents: lines are
 normalised (trimmed, blanks collapsed, lower case) and hashed, and per host (the ``source``
-column) the distinct documents that have the line are counted; documents with one and the same
-text count once.  A line above the limit, the larger of ``min_docs`` and ``share`` of the host's
-distinct documents, is boilerplate and is removed everywhere but in the document with the least
-id; a document that loses more than half of its words is depleted and rejected.
+column) the distinct documents that have the line are counted.  Documents with one and the same
+text count once: a clean text with many copies would otherwise make boilerplate of all its own
+lines and be rejected whole, while copies are the business of deduplication.  A line above the limit, the larger
+of ``min_docs`` and ``share`` of the host's distinct documents, is boilerplate and is removed
+everywhere but in the document with the least id, so that one instance of it stays in the corpus;
+a document that loses more than half of its words is depleted and rejected.  ``keep_good`` returns the documents
+that stay, without the removed lines.
 
 The text is scanned once into a narrow staged table; counts are aggregates with map-side
 combining over (host, line) so that a frequent host or line never meets in one task.
 
 Cases: null and blank texts have zero counts and fail the base rules; a null source is a host of
-its own; repeated rows get the same decision; an empty table gives no rows; columns other than
-doc_id, text and source are not read.
+its own; null ids are never a line's first document; repeated rows get the same decision; an empty table gives
+no rows; a very long text is one row's arrays; columns other than doc_id, text and source are carried
+by ``keep_good``, whatever their names, and not read.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import key_of, small_side, staged
+from .staging import fresh, key_of, small_side, staged
 
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -32,6 +36,9 @@ SHARE = 0.01
 MAX_REMOVED = 0.5
 
 
+def normalised(line) -> object:
+    """What counts as one line: trimmed, blanks collapsed, lower case."""
+    return F.lower(F.regexp_replace(F.btrim(line, F.lit(BLANKS)), BLANK_RUN, " "))
 
 
 def text_features(docs: DataFrame) -> DataFrame:
@@ -60,8 +67,7 @@ def text_features(docs: DataFrame) -> DataFrame:
         "rep", F.struct(F.lit(0).alias("sum"), F.lit(-3).alias("last")),
         lambda a, p: F.struct((a["sum"] + F.least(F.lit(3), p - a["last"])).alias("sum"), p.alias("last")),
         lambda a: a["sum"])
-    norm = lambda x: F.lower(F.regexp_replace(F.btrim(x, F.lit(BLANKS)), BLANK_RUN, " "))
-    d = d.withColumn("norm", F.transform("ls", norm))
+    d = d.withColumn("norm", F.transform("ls", normalised))
     return d.select(
         "doc_id", "key", "row_key", F.xxhash64("t", F.length("t")).alias("same"),
         F.col("n").cast("long").alias("n_words"),
@@ -86,11 +92,12 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
 
 
 def judged(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, max_removed: float = MAX_REMOVED) -> DataFrame:
-    """Per row the counts, base_failed, removed_words and kept (and row_key)."""
+    """Per row the counts, base_failed, removed_words, removed (hashes of lines) and kept (and row_key)."""
     rows = staged(text_features(docs).withColumn("rid", F.monotonically_increasing_id()), "features")
     lines = rows.select("rid", "key", "doc_id", F.explode("lines").alias("l")).select("rid", "key", "doc_id", "l.h", "l.w")
     gone = lines.join(small_side(frequent_lines(rows, min_docs, share)), ["key", "h"])
-    gone = gone.where(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("rid").agg(F.sum("w").alias("removed_words"))
+    gone = gone.where(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("rid").agg(
+        F.sum("w").alias("removed_words"), F.collect_set("h").alias("removed"))  # a document's own lines
     out = rows.drop("lines").join(gone, "rid", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn(
@@ -102,10 +109,16 @@ def rules_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """``docs`` without rejected documents; all columns stay."""
-    bad = staged(judged(docs).where(~F.col("kept")).select(F.col("row_key").alias("__row_key")).distinct(), "rejected")
-    key = F.md5(F.concat_ws("|", key_of(F.col("doc_id")), key_of(F.col("source")), key_of(F.col("text"))).cast("binary"))
-    return docs.withColumn("__row_key", key).join(small_side(bad), "__row_key", "left_anti").drop("__row_key")
+    """``docs`` without rejected documents and without the removed lines; all columns stay.  Only rows
+    that are rejected or altered are looked up; texts without a removed line aren't touched."""
+    found = judged(docs)
+    key, kept, lines = (fresh(docs, c) for c in ("__row_key", "__kept", "__lines"))
+    found = found.where(~F.col("kept") | F.col("removed").isNotNull()).groupBy(F.col("row_key").alias(key))
+    found = staged(found.agg(F.any_value("kept").alias(kept), F.any_value("removed").alias(lines)), "verdicts")
+    row_key = F.md5(F.concat_ws("|", key_of(F.col("doc_id")), key_of(F.col("source")), key_of(F.col("text"))).cast("binary"))
+    out = docs.withColumn(key, row_key).join(small_side(found), key, "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col(lines), F.xxhash64(normalised(x)))), "\n")
+    return out.withColumn("text", F.when(F.col(lines).isNotNull(), left).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 RULES_SQL = r"""

@@ -24,4 +24,12 @@ def staged(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFram
         conf.set(_BATCH, before)
 
 
-__all__ = ["key_of", "new_path", "small_side", "staged", "unit_hash"]
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+__all__ = ["fresh", "key_of", "new_path", "small_side", "staged", "unit_hash"]

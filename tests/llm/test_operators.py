@@ -365,6 +365,20 @@ def test_boilerplate_depletes(spark):
     assert kept == {0, 300} | {100 + i for i in range(30)} | {200 + i for i in range(40)}
 
 
+def test_keep_good_removes_lines(spark):
+    notice = "All rights  reserved, ask the editor"
+    rows = [(i, f"{prose(i, 30)}\n\n {notice.upper()}\t\n{prose(i + 500, 40)}", "s") for i in range(30)]
+    rows += [(100, prose(77, 70), "s"), (101, None, "s"), (102, "", None), (None, f"{notice}\n{prose(78, 70)}", "s"), (3, rows[3][1], "s")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("__row_key", F.lit("mine")).withColumn("__kept", F.lit(7))
+    out = line_rules.keep_good(d)
+    assert out.columns == d.columns
+    want = [(i, t) if i in (0, 100) else (i, "\n".join(x for x in t.split("\n") if "reserved" not in x.lower())) for i, t, _ in rows if i not in (101, 102)]
+    key = lambda r: (r[0] is None, r)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=key) == sorted(want, key=key)
+    assert {(r["__row_key"], r["__kept"]) for r in out.collect()} == {("mine", 7)}
+    assert line_rules.keep_good(d.limit(0)).count() == 0
+
+
 # 8 ---------------------------------------------------------------------------------------------
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(5)

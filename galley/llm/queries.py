@@ -53,4 +53,4 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_simhash, op3_warc, op4_quality, op5_urls, op6_packing, op7_rules, op8_topk, op9_sharding, op10_chat)}
-ORACLE = {"op1_mixing": mixing.MIX_SQL, "op7_rules": line_rules.RULES_SQL, "op8_topk": topk.TOPK_SQL, "op10_chat": chat.CHAT_SQL}
+ORACLE = {"op1_mixing": mixing.MIX_SQL, "op3_warc": warc.WARC_SQL, "op7_rules": line_rules.RULES_SQL, "op8_topk": topk.TOPK_SQL, "op10_chat": chat.CHAT_SQL}

@@ -195,26 +195,38 @@ def test_warc_round_trip(spark):
 def test_warc_of_nothing_and_damage(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(empty).count() == 0
-    record = next(warc.records_of("1", "u", b"abc", None, False, 3, hashlib.sha1(b"abc").digest(), 10))
+    row = {"record_id": "urn:page:1:X", "page": "1", "url": "u", "first": None, "refers_to": None, "size": 3, "sha": hashlib.sha1(b"abc").digest(), "chunk_no": 1, "chunks": 1}
+    record = warc.record_of(row, b"abc", row["sha"])
+    assert [c["last"] for c in warc.read_chunks(iter(record.split(warc.SEP)[:-1]))] == [True]
     with pytest.raises(ValueError):
-        list(warc.captures(iter(record.replace(b"abc", b"abd").split(warc.SEP))))
-
-
-def test_warc_chunks_carry_running_digests():
-    data = bytes(range(256)) * 10
-    parts = list(warc.chunks_of(data, 1000))
-    assert [p[0] for p in parts] == [1, 2, 3] and b"".join(p[1] for p in parts) == data
-    assert parts[1][2] == hashlib.sha1(data[:2000]).digest() and parts[2][2] == hashlib.sha1(data).digest()
-    records = list(warc.records_of("1", "u", data, None, False, len(data), hashlib.sha1(data).digest(), 1000))
-    assert len(records) == 3 and b"WARC-Segment-Total-Length" in records[2]
-    pieces = iter((warc.SEP.join(records) + warc.SEP).split(warc.SEP)[:-1])
-    assert list(warc.captures(pieces)) == [("1", len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response", None)]
-
-
-def test_warc_chunk_table(spark):
-    t = warc.chunk_table(spark.createDataFrame(PAGES[:7], "page_id long, url string, html string"), chunk=1000)
-    n = {r.record_id: r.n for r in t.groupBy("record_id").agg(F.count("*").alias("n")).collect()}
-    assert n["1"] == 1 and n["3"] == 1 and n["7"] == -(-len(PAGES[6][2].encode()) // 1000)
+        list(warc.read_chunks(iter(record.replace(b"abc", b"abd").split(warc.SEP)[:-1])))
+
+
+def test_warc_chunk_table_and_archives(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(2)
+    rows = warc.chunk_table(pages, chunk=1000).collect()
+    data = PAGES[6][2].encode()
+    long = sorted((r for r in rows if r.record_id.startswith("urn:page:7:")), key=lambda r: r.chunk_no)
+    assert [r.chunk_no for r in long] == list(range(1, -(-len(data) // 1000) + 1)) and b"".join(r.data for r in long) == data
+    for r in (long[0], long[700], long[-1]):
+        assert r.digest_so_far == base64.b32encode(hashlib.sha1(data[:1000 * r.chunk_no]).digest()).decode()
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages, "file://" + path, chunk=1000)
+    names, members, referred = [], 0, []
+    for f in (tmp_path / "archives").glob("*.warc.gz"):
+        left = f.read_bytes()
+        while left:  # every record is a gzip member of its own
+            z = zlib.decompressobj(31)
+            record = z.decompress(left) + z.flush()
+            assert z.eof and record.startswith(b"WARC/1.1\r\n") and record.endswith(warc.SEP)
+            fields = dict(x.split(b": ", 1) for x in record.split(warc.SEP)[0].split(b"\r\n")[1:])
+            names.append(fields[b"WARC-Record-ID"])
+            referred += [fields[k] for k in (b"WARC-Refers-To", b"WARC-Segment-Origin-ID") if k in fields]
+            left, members = z.unused_data, members + 1
+    assert members == len(names) == len(set(names)) == len(PAGES) - 1 + len(long)
+    assert set(referred) <= set(names) and any(b":segment:2>" in n for n in names)
+    back = {(r.page_id, r.payload_bytes) for r in warc.read_archives(spark, "file://" + path).collect()}
+    assert ("7", len(data)) in back
 
 
 # 4 ---------------------------------------------------------------------------------------------

@@ -1,10 +1,11 @@
 """Harmonic packing of tokenised documents into sequences of fixed capacity.
 
-A piece class k (reciprocal of the capacity) holds pieces of at most capacity // k tokens, and a
-bin of the class is filled with exactly k of them.  A document is cut from its start: as long as
-a whole capacity is left it gives a full piece; what remains is cut to the largest class size
-that fits, until the rest fills a class up to ``slack`` and is placed uncut.  Cutting to class
-sizes keeps padding near zero, where uncut harmonic classes would waste a quarter and more.
+Class k (reciprocal of the capacity) holds pieces of more than capacity / (k + 1) and at most capacity / k
+tokens, and a bin of the class is filled with exactly k of them.  A document gives full pieces as
+long as a whole capacity is left; the remainder is classified whole, or cut first where that
+saves padding: into a piece that fills a class and a rest, again cut or not.  Of all ways to
+do so the one with the least padding is taken (a cut counts as CUT_COST tokens of it), and no piece that a cut makes is shorter than
+FLOOR; whole remainders alone would waste a quarter and more, and free cuts would shred documents.
 
 Bins are filled independently: a piece's rank in its class is the offset of its hash bucket plus
 its place in it, rank // k names the bin, and no task sees a whole class.  The last bins of the
@@ -14,12 +15,14 @@ capacity, and are packed once more by first fit in one small task.
 Tokens: ids of the public word-level BPE file, then id 1.  Blank-separated chunks are encoded
 through a memo, which is exact since that tokenizer never merges across blanks.
 
-Cases: null and empty texts have the one token 1; very long texts give many pieces; repeated
-rows are packed as often as they occur; an empty table gives no rows; other columns are not read.
+Cases: null and empty texts have the one token 1; very long texts give many pieces; pieces of one
+length are ranked by hash, so ties fall anyhow; repeated rows are packed as often as they occur; null ids are
+kept; an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,7 +38,8 @@ from .staging import small_side, staged
 from .worker import memo
 
 CAPACITY = 2048
-SLACK = 64  # the last piece may fall short of its class by 1/SLACK
+FLOOR = 128  # no cut makes a shorter piece
+CUT_COST = 12.0
 END = 1
 TOKENIZER = "word_bpe_49k.json"
 MEMO_ITEMS = 700_000
@@ -96,19 +100,28 @@ def token_encoder(path: str):
     return encode
 
 
-def cut(length: int, capacity: int = CAPACITY, slack: int = SLACK) -> list[tuple[int, int]]:
+@functools.lru_cache(8)
+def _cuts(capacity: int, floor: int, cost: float) -> list[tuple[float, int]]:
+    """By length up to capacity + floor: padding of the best way, and its first piece."""
+    best: list[tuple[float, int]] = [(0.0, 0)]
+    sizes = [(capacity // k, capacity / k - capacity // k) for k in range(2, capacity // floor + 1)]
+    for r in range(1, capacity + floor):
+        ways = [(capacity / (capacity // r) - r, r)] if r <= capacity else []
+        ways += [(waste + cost + best[r - size][0], size) for size, waste in sizes if r - size >= floor]
+        best.append(min(ways, key=lambda w: (w[0], -w[1]), default=(float("inf"), 0)))
+    return best
+
+
+def cut(length: int, capacity: int = CAPACITY, floor: int = FLOOR, cost: float = CUT_COST) -> list[tuple[int, int]]:
     """Piece lengths of a document with their classes, in order."""
-    pieces = [(capacity, 1)] * (length // capacity)
-    rest = length % capacity
+    best = _cuts(capacity, floor, cost)
+    full, rest = divmod(length, capacity)
+    if full and 0 < rest < floor and best[capacity + rest][1]:  # too little for a piece of its own
+        full, rest = full - 1, rest + capacity
+    pieces = [(capacity, 1)] * full
     while rest:
-        k = -(-capacity // rest)  # the least k whose size is at most the rest, or one less
-        above = capacity // (k - 1)  # rest < capacity, so k > 1
-        if above - rest <= above // slack:
-            pieces.append((rest, capacity // above))
-            break
-        size = capacity // k
-        k = capacity // size
-        pieces.append((size, k))
+        size = best[rest][1]
+        pieces.append((size, capacity // size))
         rest -= size
     return pieces
 
@@ -184,3 +197,13 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity: int = CAPA
     short = rows.where("NOT __whole").withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("__one", F.lit(1))
     tail = short.groupBy("__one").applyInPandas(rest, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return full.unionByName(tail.withColumn("doc_id", F.col("doc_id").cast(id_type)))
+
+
+def packing_summary(packed: DataFrame, capacity: int = CAPACITY, short: int = 64) -> DataFrame:
+    """One row: documents, pieces, pieces shorter than ``short`` of documents that aren't, sequences, share of padding."""
+    by_sequence = packed.groupBy("sequence_id").agg(
+        F.count("*").alias("p"), F.sum((F.col("start") == 0).cast("long")).alias("d"), F.sum("length").alias("t"),
+        F.sum(((F.col("length") < short) & (F.col("doc_tokens") >= short)).cast("long")).alias("s"))
+    return by_sequence.agg(
+        F.sum("d").alias("documents"), F.sum("p").alias("pieces"), F.sum("s").alias("shreds"), F.count("*").alias("sequences"),
+        (1 - F.sum("t") / (F.count("*") * capacity)).alias("padding"))

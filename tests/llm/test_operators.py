@@ -325,15 +325,22 @@ def test_packing(docs):
         assert at == len(ids)
     assert Counter((int(d) if d == d else -1, *map(int, r)) for d, *r in got[["doc_id", "start", "length", "ids_crc32", "doc_tokens"]].itertuples(index=False)) == want
     assert packing.pack(docs.limit(0)).count() == 0
+    seen = packing.packing_summary(packing.pack(docs)).first()
+    assert (seen.documents, seen.pieces, seen.shreds, seen.sequences) == (len(corpus()), len(got), 0, got.sequence_id.nunique())
 
 
-def test_cut_fills_classes():
-    for n in range(1, 5000):
+def test_cut_leaves_no_shreds():
+    wasted = whole = 0
+    for n in range(1, 7000):
         pieces = packing.cut(n)
         assert sum(p[0] for p in pieces) == n
         for length, k in pieces:
-            size = packing.CAPACITY // k
-            assert size - size // packing.SLACK <= length <= size and k * size <= packing.CAPACITY
+            assert k == packing.CAPACITY // length and k * length <= packing.CAPACITY
+            assert length >= min(n, packing.FLOOR)
+            wasted += packing.CAPACITY / k - length
+        whole += n
+    assert wasted < 0.03 * whole
+    assert [packing.cut(n, 100, 60) for n in (40, 100, 130)] == [[(40, 2)], [(100, 1)], [(100, 1), (30, 3)]]  # nothing to cut
 
 
 def test_token_memo_is_exact():

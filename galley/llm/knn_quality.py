@@ -6,7 +6,8 @@ DIM latent dimensions: a seeded random sketch followed by the leading eigenvecto
 sketches' second moments, a randomised truncated SVD.  The labelled vectors, a bounded sample of
 PER_CLASS documents of each label, are sent to the tasks; every document is compared with all of
 them in exact blocked cosine products, and its K nearest vote with their similarity as weight
-(times the inverse of their class's sampling rate, so a bounded sample votes as all would).
+(times the inverse of their class's sampling rate, so a bounded sample votes as all would; and with a
+vote of PRIOR for the base rate, which decides where no neighbour is similar).
 
 The sample is chosen by hash of the id from documents whose crc32(doc_id) mod 4 is not 2.  Only
 texts enter a score.  Bounds: 2 x PER_CLASS x DIM floats are broadcast (1.5 MB); a class's counts
@@ -15,7 +16,8 @@ come from all labelled rows.
 Cases: empty and null texts get a feature of their own; a text whose vector is zero, or a table
 without labels, scores the base rate of label 1 (1 without labels); null ids are never held out
 and never learned from; repeated rows score alike; ids labelled several times count each time;
-very long texts are read whole; an empty table gives no rows; other columns are carried.
+labelled texts that tie with the K-th neighbour all vote; very long texts are read whole; an empty
+table gives no rows; other columns are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import staged
+from .staging import fresh, staged
 from .worker import memo
 
 WORDS, SHAPES = 1 << 14, 1 << 12
@@ -44,10 +46,11 @@ BLOCK = 256
 SHAPE_WEIGHT, WORD_WEIGHT = 1.0, 0.5
 MEMO_ITEMS = 300_000
 
+
 def shape_of(word: str) -> str:
-    """Casing, digits and symbols of a word, runs cut to two: ``THE!!`` is ``AA!!``."""
+    """Casing, digits and symbols of a whole word, runs cut to two: ``THE!!`` is ``AA!!``."""
     marks = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return re.sub(r"(.)\1+", r"\1\1", marks)[:12]
+    return re.sub(r"(?s)(.)\1+", r"\1\1", marks)
 
 
 class WordCodes(dict):
@@ -105,14 +108,15 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def vote(x: np.ndarray, vectors: np.ndarray, labels: np.ndarray, weights: np.ndarray, base: float, k: int = K) -> np.ndarray:
-    """Scores of unit rows x against the labelled unit vectors, block by block."""
+    """Scores of unit rows x against the labelled unit vectors, block by block: the k nearest, and all
+    that tie with the k-th, vote with their similarity."""
     out = np.full(len(x), base)
     k = min(k, len(vectors))
     for i in range(0, len(x), BLOCK) if k else ():
         sim = x[i:i + BLOCK] @ vectors.T
-        near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-        s = np.maximum(np.take_along_axis(sim, near, 1), 0).astype(np.float64) ** 4 * weights[near]
-        out[i:i + BLOCK] = ((s * labels[near]).sum(1) + PRIOR * base) / (s.sum(1) + PRIOR)
+        least = np.partition(sim, len(vectors) - k, axis=1)[:, len(vectors) - k, None]
+        s = np.where(sim >= np.maximum(least, 0), sim, 0).astype(np.float64)
+        out[i:i + BLOCK] = (s @ (weights * labels) + PRIOR * base) / (s @ weights + PRIOR)
     return out
 
 
@@ -193,4 +197,5 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without documents that score below the threshold; all columns stay."""
-    return with_score(docs, fit(docs, labels), out="__score").where(F.col("__score") >= threshold).drop("__score")
+    score = fresh(docs, "__score")
+    return with_score(docs, fit(docs, labels), out=score).where(F.col(score) >= threshold).drop(score)

@@ -268,10 +268,52 @@ def test_blocked_votes_equal_brute_force():
     for i in range(0, 700, 37):
         s = x[i] @ v.T
         near = np.argsort(-s)[:7]
-        p = np.maximum(s[near], 0).astype(float) ** 4 * w[near]
+        p = np.maximum(s[near], 0).astype(float) * w[near]
         assert got[i] == pytest.approx(((p * y[near]).sum() + knn_quality.PRIOR * 0.5) / (p.sum() + knn_quality.PRIOR), rel=1e-5)
 
 
+def test_ties_with_the_last_neighbour_all_vote():
+    v = knn_quality.unit(np.array([[1.0, 0], [1, 0], [1, 0], [0, 1]]))
+    got = knn_quality.vote(v[:1], v, np.array([1.0, 1, 0, 0]), np.ones(4), 0.5, k=1)
+    assert got[0] == pytest.approx((2 + knn_quality.PRIOR * 0.5) / (3 + knn_quality.PRIOR))
+
+
+def test_shapes_are_whole_and_vectors_equal_brute_force():
+    long = ["1a2b3c4d5e6f7g8h!", "1a2b3c4d5e6f7g8h?"]
+    assert knn_quality.shape_of(long[0]) != knn_quality.shape_of(long[1])
+    idf, matrix = np.random.default_rng(3).random(knn_quality.SIZE) + 1, knn_quality.sketch_matrix()[:, :6]
+    texts = ["The cat saw THE dog!!\n1900 and 1901", "", None, " ".join(long) * 50]
+    for text, got in zip(texts, knn_quality.project(texts, idf, matrix)):
+        ws = (text or "").split()
+        lines = (text or "").split("\n")
+        bag = Counter()
+        for w in ws or ["\x00empty"]:
+            bag[zlib.crc32(w.lower().encode()) % knn_quality.WORDS] += 1
+            bag[knn_quality.WORDS + zlib.crc32(knn_quality.shape_of(w).encode()) % knn_quality.SHAPES] += 1
+        n, few = max(1, len(ws)), sum(f < knn_quality.WORDS for f in bag)
+        facts = [f"\x00lines{int(4.99 * (1 - len(set(lines)) / len(lines)))}", f"\x00size{len(ws).bit_length()}",
+                 f"\x00same{int(4.99 * sum(a == b for a, b in zip(ws, ws[1:])) / n)}", f"\x00few{int(4.99 * (1 - few / n))}"]
+        terms = [*bag.items(), *((knn_quality.WORDS + zlib.crc32(x.encode()) % knn_quality.SHAPES, max(1, len(ws) // 8)) for x in facts)]
+        want = np.zeros(6)
+        for part, weight in ((False, 0.5), (True, 1.0)):
+            values = [(f, (1 + np.log(c)) * idf[f]) for f, c in terms if (f >= knn_quality.WORDS) == part]
+            norm = np.sqrt(sum(x * x for _, x in values))
+            want += sum(weight * x / norm * matrix[f] for f, x in values)
+        assert got == pytest.approx(want, rel=1e-4, abs=1e-5)
+
+
+def test_keep_quality_keeps_rows_and_columns(spark):
+    rows = [(i, prose(1000 + i, 60) if i % 2 else prose(1000 + i, 60).upper().replace(" ", "!! ")) for i in range(200)] + [(1, prose(1001, 60)), (None, None), (500, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__score", F.lit("mine"))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    out = knn_quality.keep_quality(d, labels)
+    got = Counter(r.doc_id for r in out.collect())
+    assert out.columns == d.columns and {r["__score"] for r in out.collect()} == {"mine"}
+    want = {r.doc_id for r in knn_quality.quality_report(d, labels).collect() if r.predicted}
+    assert set(got) == want and got[1] == 2 and sum(i % 2 for i in want if i is not None and i < 200) > 95
+    assert knn_quality.keep_quality(d.limit(0), labels).count() == 0
+
+
 # 5 ---------------------------------------------------------------------------------------------
 def plain_url(url):
     if not url or "://" not in url:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import zlib
 from collections import Counter, defaultdict
 
@@ -347,6 +348,41 @@ def test_url_rules(spark):
     assert url_rules.judge(d.limit(0)).count() == 0
 
 
+def plain_tokens(host, path):
+    labels = [x for x in reversed(host.split(".")) if x]
+    words = "".join(c if c.isalpha() else " " for c in path.lower()).split()
+    return {f"h{i}:{x}" if i < 2 else f"h:{x}" for i, x in enumerate(labels)} | {f"p:{w}" for w in words}
+
+
+def test_mined_verdicts_equal_brute_force(spark):
+    """All subsets of all labelled URLs' tokens as antecedents, without a length limit."""
+    rng = np.random.default_rng(8)
+    pick = lambda words, n: "/".join(rng.choice(words.split(), n))
+    tops, sites, words = ["com", "org", "net", "example.org"], ["alpha", "beta", "gamma"], "fr de es en shop blog win news"
+    urls = [f"http://www.{rng.choice(sites)}.{rng.choice(tops)}/{pick(words, rng.integers(1, 4))}/page-{i % 7}/part-of-site" for i in range(400)]
+    d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    support, confidence = 0.02, 0.7
+    seen = {u: (plain_tokens(*plain_url(u)), plain_rule(*plain_url(u))[1]) for u in urls}
+    given = [(t, v) for t, v in seen.values() if v]
+    both, alone = Counter(), Counter()
+    for tokens, v in given:
+        for n in range(1, len(tokens) + 1):
+            for sub in itertools.combinations(sorted(tokens), n):
+                alone[sub] += 1
+                both[(sub, v)] += 1
+    base = Counter(v for _, v in given)
+    rules = [(both[k] / alone[k[0]], both[k] / len(given), k[1], set(k[0])) for k in both
+             if both[k] >= support * len(given) and both[k] / alone[k[0]] >= confidence and both[k] / alone[k[0]] / (base[k[1]] / len(given)) > 1]
+    assert any(len(r[3]) > 3 for r in rules)
+    decided = Counter()
+    for r in url_rules.judge(d, min_support=support, min_confidence=confidence).collect():
+        tokens, v = seen[urls[r.page_id]]
+        fit = [x[:3] for x in rules if x[3] <= tokens]
+        assert (r.verdict, r.source) == ((v, "given") if v else (max(fit)[2], "mined") if fit else ("allow", "default"))
+        decided[(r.source, r.verdict)] += 1
+    assert decided[("mined", "block")]
+
+
 # 6 ---------------------------------------------------------------------------------------------
 def test_packing(docs):
     from tokenizers import Tokenizer

@@ -511,22 +511,50 @@ def test_top_k_of_large_components_and_many_blocks(spark, size):
 
 
 # 9 ---------------------------------------------------------------------------------------------
-def test_sharding(docs):
-    got = sharding.shard_documents(docs, 4).toPandas()
+def plain_shards(rows, shards, seed=sharding.SEED):
+    """(shard, slot) of (doc_id, text, source) rows, by sorting all."""
+    def half(value):
+        text = f"{seed}|" + ("n" if value is None else f"v{value}")
+        return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) >> 26
+
+    strata = defaultdict(list)
+    for i, (d, t, s) in enumerate(rows):
+        data = (t or "").encode()
+        strata["n" if s is None else f"v{s}"].append((half(t or "") << 26 | half(d), (d is not None, d), len(data) + 1, zlib.crc32(data), i))
+    order = sorted(((2 * r + 1) / (2 * len(x)), key, row[-1]) for key, x in strata.items() for r, row in enumerate(sorted(x)))
+    place = {i: (p * shards // len(rows), p) for p, (_, _, i) in enumerate(order)}
+    first = {}
+    for shard, p in place.values():
+        first[shard] = min(p, first.get(shard, p))
+    return [(place[i][0], place[i][1] - first[place[i][0]]) for i in range(len(rows))]
+
+
+@pytest.mark.parametrize("hot_rows", [sharding.HOT_ROWS, 2])
+def test_sharding(docs, hot_rows):
+    got = sharding.shard_documents(docs, 4, hot_rows=hot_rows).toPandas()
     rows = corpus()
     assert len(got) == len(rows) and set(got.law) == {"rows"}
     n = got.groupby("shard").size()
     assert n.max() - n.min() <= 1
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
-    assert Counter(zip(got["size"], got.text_crc32)) == Counter((len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t, *_ in rows)
+    want = Counter((-1 if d is None else d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()), *at)
+                   for (d, t, *_), at in zip(rows, plain_shards([(d, t, s) for d, t, _, s, _ in rows], 4)))
+    assert Counter((-1 if d != d else int(d), *map(int, r)) for d, *r in got[["doc_id", "size", "text_crc32", "shard", "slot"]].itertuples(index=False)) == want
     assert sharding.shard_documents(docs.limit(0)).count() == 0
 
 
-def test_shards_have_the_mixture(spark):
-    d = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("source"))
-    g = sharding.shard_documents(d, 16).join(d.select("doc_id", "source"), "doc_id").groupBy("source", "shard").agg(F.count("*").alias("n")).toPandas()
-    for _, x in g.groupby("source"):
-        assert len(x) == 16 and x.n.max() - x.n.min() <= 2
+def test_shards_have_the_mixture_and_keep_groups(spark):
+    # Each text three times, in whatever sources; one of them in a third of all rows.
+    d = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("text"),
+        F.when(F.xxhash64("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.xxhash64("id") % 4).cast("string"))).alias("source"))
+    got = sharding.shard_documents(d, 16, hot_rows=100).join(d, "doc_id").toPandas()
+    for _, x in got.groupby("source"):
+        n = x.groupby("shard").size()
+        assert len(n) == 16 and n.max() - n.min() <= 2
+    small = got[got.text != "hot"].groupby("text").shard.nunique()
+    assert (small == 1).mean() > 0.5 and small.max() <= 3
+    assert got[got.text == "hot"].shard.nunique() < 12  # a third of all rows: six shards at least
 
 
 # 10 --------------------------------------------------------------------------------------------

@@ -7,17 +7,21 @@ BANDS keys, each the hash of the ROWS least shingles under a seeded permutation,
 probability J ** ROWS (all BANDS miss a pair at 0.8 once in 400).  Every candidate is verified by
 the exact Jaccard similarity of the whole texts' shingle sets.
 
-Before texts are compared, a pair must differ in at most SKETCH_LIMIT of SKETCH bits, the parities of
-as many minima (one-bit minwise hashing): two texts at 0.8 differ in 51.2 bits on average with a
-deviation of 6.8, so the limit loses 4 pairs in 10,000 there, and drops two of three pairs at 0.7.
+Before texts are compared, a pair's sketches (two bits of each of SKETCH minima) must differ in at most SKETCH_LIMIT
+places: two texts at 0.8 differ in 76.8 on average with a deviation of 8.1, so the limit, five
+deviations above, loses less than one such pair in a million, and drops most pairs below 0.7.
 
 A key's members are not paired with each other: its least member leads, all others are verified
 against it, and those that fail form the key's next group, which has twice as many leaders, and
-so on until none is left.
+so on until none is left.  Two members that match different leaders have not met; where their
+components still differ at the end, they are compared as well (``lost_links``), so every two texts that
+share a key and are similar enough end in one component.  A key whose n members are all unlike costs
+comparisons of sketches, in the JVM, of the order of n ** 2; only pairs that pass are rows.
 
 Equal texts (after lower-casing A-Z and collapsing blanks) are collapsed first.  Of each group the
 row with the least id stays (null ids last); rows that repeat id and text count as one.  Null
-and blank texts are equal to each other.  An empty table stays empty; other columns are carried.
+and blank texts are equal to each other.  Very long texts are read whole.  An empty table stays empty;
+other columns are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,14 +37,15 @@ from pyspark.sql.window import Window
 
 from ..operators.components import connected_components
 from .simhash import _UPPER, fingerprint, fingerprint_links, shingle_hashes
-from .staging import key_of, small_side, staged
+from .staging import fresh, key_of, small_side, staged
 from .worker import forget
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 6
 DESCRIBE_ROWS, VERIFY_ROWS = 1000, 250  # rows of an Arrow batch with texts
-SKETCH, SKETCH_LIMIT = 512, 74
+SKETCH, SKETCH_LIMIT = 512, 117
+_PAIRS = 0x5555555555555555
 _SKETCH_ODD = np.random.default_rng(12).integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = np.random.default_rng(11).integers(1, 1 << 63, BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -61,11 +66,18 @@ def sample_keys(hashes: np.ndarray) -> list[int]:
 
 
 def sketch(hashes: np.ndarray) -> list[int]:
-    """A bit of the least shingle under each of SKETCH permutations, as numbers of 64 bits."""
+    """Two bits of the least shingle under each of SKETCH permutations, 32 to a number."""
     least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 512):
         np.minimum(least, (hashes[None, at:at + 512] * _SKETCH_ODD[:, None]).min(1), out=least)
-    return np.packbits((least >> np.uint64(20)).astype(np.uint8) & 1, bitorder="little").view(np.int64).tolist()
+    bits = (least >> np.uint64(20)).astype(np.uint8)
+    return np.packbits(np.stack([bits & 1, bits >> 1 & 1], 1).ravel(), bitorder="little").view(np.int64).tolist()
+
+
+def places_apart(a, b) -> object:
+    """In how many places two sketches differ."""
+    x = [F.col(a)[i].bitwiseXOR(F.col(b)[i]) for i in range(SKETCH // 32)]
+    return sum((F.bit_count(v.bitwiseOR(F.shiftrightunsigned(v, 1)).bitwiseAND(F.lit(_PAIRS))) for v in x), F.lit(0))
 
 
 def described(rows: DataFrame, shingle: int) -> DataFrame:
@@ -100,27 +112,41 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return pairs.join(t("a"), "a").join(t("b"), "b").select("a", "b", alike("ta", "tb").alias("ok"))
 
 
-def similar_links(groups: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> list[DataFrame]:
-    """Staged (key, node, sketch) memberships to verified links (a, b).  Round r has 2 ** r leaders
-    per key."""
-    links, leaders = [], 1
-    differ = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("lead_sketch")[i])) for i in range(SKETCH // 64)), F.lit(0))
+def similar_links(groups: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged (key, node, sketch) memberships to verified links (a, b), members that left their group
+    by a match (key, node), and all pairs that were verified (a, b).  Round r has 2 ** r leaders per key."""
+    links, matched, tested, leaders = None, None, None, 1
+    more = lambda old, new: new if old is None else old.unionByName(new)
     while True:
         rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         lead = groups.withColumn("r", rank).where(F.col("r") <= leaders)
         lead = staged(lead.select("key", F.col("node").alias("a"), F.col("sketch").alias("lead_sketch")), "leaders")
-        rest = groups.join(lead, "key").where((F.col("node") > F.col("a")) & (differ <= SKETCH_LIMIT))
+        rest = groups.join(lead, "key").where((F.col("node") > F.col("a")) & (places_apart("sketch", "lead_sketch") <= SKETCH_LIMIT))
         rest = staged(rest.select("key", "a", F.col("node").alias("b")), "rest")
         done = staged(verified(rest.select("a", "b").distinct(), texts, shingle, similarity), "verified", VERIFY_ROWS)
         good = done.where("ok").select("a", "b")
-        links.append(good)
-        led = lead.select("key", F.col("a").alias("node")).unionByName(rest.join(good, ["a", "b"]).select("key", F.col("b").alias("node")))
+        left = staged(rest.join(good, ["a", "b"]).select("key", F.col("b").alias("node")).distinct(), "matched")
+        links, matched, tested = more(links, good), more(matched, left), more(tested, done.select("a", "b"))
+        led = lead.select("key", F.col("a").alias("node")).unionByName(left)
         groups = staged(groups.join(led.distinct(), ["key", "node"], "left_anti"), "groups")
         if groups.isEmpty():
-            return links
+            return links, matched, tested
         leaders *= 2
 
 
+def lost_links(groups: DataFrame, matched: DataFrame, tested: DataFrame, components: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Staged links (a, b) between texts that share a key and have not met, since one left its group
+    by a match, where their components differ."""
+    members = groups.join(components, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo <> hi AND n > 2").select("key")
+    apart = apart.join(matched.select("key").distinct(), "key", "left_semi")
+    members = staged(members.join(apart, "key", "left_semi"), "members")
+    one = members.join(matched.distinct(), ["key", "node"], "left_semi").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("sketch").alias("x_sketch"))
+    pairs = members.join(one, "key").where((F.col("root") != F.col("x_root")) & (places_apart("sketch", "x_sketch") <= SKETCH_LIMIT))
+    pairs = pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    return staged(verified(pairs, texts, shingle, similarity).where("ok").select("a", "b"), "lost", VERIFY_ROWS)
+
+
 def row_key(id_col: str, text_col: str) -> object:
     return F.md5(F.concat_ws("|", key_of(F.col(id_col)), key_of(F.col(text_col))).cast("binary"))
 
@@ -143,12 +169,13 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     wanted = points.join(groups.select("node").distinct(), "node").select("node", F.col("first.k").alias("k"))
     texts = docs.select(k.alias("k"), F.col(text_col).alias("t")).join(small_side(staged(wanted, "wanted")), "k")
     texts = staged(texts.dropDuplicates(["node"]) if repeats else texts, "texts").select("node", "t")
-    links = similar_links(groups, texts, shingle, similarity)
-    union = links[0]
-    for more in links[1:]:
-        union = union.unionByName(more)
-    found = connected_components(union, "a", "b")
+    links, matched, tested = similar_links(groups, texts, shingle, similarity)
+    found = connected_components(links, "a", "b")
+    lost = lost_links(groups, matched, tested, found, texts, shingle, similarity)
+    if not lost.isEmpty():
+        found = connected_components(links.unionByName(lost), "a", "b")
     keepers = points.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    gone = staged(rows.select("k").join(keepers.select("first.k"), "k", "left_anti").distinct().withColumnRenamed("k", "__k"), "gone")
-    kept = docs.withColumn("__k", k).join(small_side(gone), "__k", "left_anti")
-    return (kept.dropDuplicates(["__k"]) if repeats else kept).drop("__k")
+    name = fresh(docs, "__k")
+    gone = staged(rows.select("k").join(keepers.select("first.k"), "k", "left_anti").distinct().withColumnRenamed("k", name), "gone")
+    kept = docs.withColumn(name, k).join(small_side(gone), name, "left_anti")
+    return (kept.dropDuplicates([name]) if repeats else kept).drop(name)

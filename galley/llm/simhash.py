@@ -4,25 +4,33 @@ Fingerprints are 64-bit SimHashes of word shingles.  Equal fingerprints are coll
 group of copies is one point, however large.  The distinct points are dealt to shards by three
 vantage-point trees and searched exactly in each shard:
 
-* A pair within 2 bits agrees on one of three blocks of bits (pigeonhole).  Tree b uses the
-  Hamming distance on block b with search radius 0: by the triangle inequality a pair that agrees
-  on the block has equal distances to every vantage point, so it is never separated.
+* A tree's first TOP levels part the points by their whole Hamming distance to a vantage point with search
+  radius 2: points within the radius beyond a boundary are handed to the inner branch as well,
+  so by the triangle inequality no pair is lost at a boundary.  Random fingerprints lie 32 +- 4 bits apart, so each
+  such level copies a fifth of the points; a tree of such levels alone would copy each point some 20 times over at
+  10**9 points.
+* A pair within 2 bits agrees on one of three blocks of bits (pigeonhole).  Below its top, tree b uses the
+  Hamming distance on block b, where the search radius is 0: a pair that agrees on the block has equal distances to
+  every vantage point, so it is never separated, and nothing is copied.
 * Where block values coincide and the block metric cannot part a large branch any further, the
-  tree goes on with the whole 64-bit distance and search radius 2; points within the radius
-  beyond a boundary are handed to the inner branch as well, so no pair is lost at a boundary.
-* The trees are fitted on a bounded sample (SAMPLE points, by hash); every point is routed.
-  Inside a shard the same splitting goes on down to LEAF points, which are compared in full.
+  tree goes on with the whole distance and its overlapping boundaries.
+* The trees are fitted on a sample chosen by hash, which grows with the table up to SAMPLE points, so shards stay
+  small; every point is routed.  Inside a shard the same splitting goes on down to LEAF points, which are compared
+  in full.  A dense cluster that no vantage point parts is compared in full up to DENSE points; a larger one looks
+  up each point's neighbours within 2 bits, which grows in proportion to its points.
 
 A shard returns a star for each of its clusters instead of its pairs, and the components over all
 stars are found with distributed star steps (``components``).
 
 Cases: null or blank texts have fingerprint zero and link like any other; texts with fewer words
 than a shingle are one shingle; repeated rows are kept; null ids take part but never name a
-component unless all ids of it are null; an empty table gives no rows.
+component unless all ids of it are null; ties need no order, as all links count; very long texts are read
+whole, in blocks of shingles; an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +43,12 @@ from ..operators.components import connected_components
 from .staging import staged
 
 RADIUS = 2
-SAMPLE = 32_768
+SAMPLE = 1 << 20  # points a tree is fitted on, at most (8 MB on the driver)
+PER_SAMPLED = 8  # points for each of the sample, until SAMPLE is reached
 SHARD_POINTS = 512
+TOP = 2
 LEAF = 192
+DENSE = 32_768
 BATCH_ROWS = 2000  # of an Arrow batch with texts
 SEED = 42
 
@@ -104,42 +115,48 @@ def _split(x: np.ndarray, mask: np.uint64, slack: int):
 
 
 class Tree:
-    """A vantage-point tree over one block: nodes are (vantage, mu, whole, inner, outer)."""
-
-    def __init__(self, sample: np.ndarray, block: int, leaf: int):
-        self.block, self.nodes, self.leaves = block, [], 0
-        self.root = self._grow(sample, False, leaf, 0)
-
-    def _grow(self, x: np.ndarray, whole: bool, leaf: int, depth: int) -> int:
-        if len(x) > leaf and depth < 40:
-            mask, slack = (WHOLE, RADIUS) if whole else (BLOCKS[self.block], 0)
-            cut = _split(x, mask, slack)
-            if cut is None and not whole and len(x) > 4 * leaf:
+    """A vantage-point tree: nodes as arrays (vantage, mask of its metric, mu, slack, inner, outer);
+    leaves are negative numbers."""
+
+    def __init__(self, sample: np.ndarray, block: int, leaf: int, top: int = TOP):
+        self.block, self.top, self.leaf, self.leaves, nodes = block, top, leaf, 0, []
+        self.root = self._grow(sample, False, 0, nodes)
+        self.vantage, self.mask = (np.array([n[i] for n in nodes], np.uint64) for i in (0, 1))
+        self.mu, self.slack, self.inner, self.outer = (np.array([n[i] for n in nodes], np.int64) for i in (2, 3, 4, 5))
+
+    def _grow(self, x: np.ndarray, whole: bool, depth: int, nodes: list) -> int:
+        if len(x) > self.leaf and depth < 60:
+            cut = _split(x, WHOLE, RADIUS) if whole or depth < self.top else None
+            mask, slack = WHOLE, RADIUS
+            if cut is None and not whole:
+                mask, slack = BLOCKS[self.block], 0
+                cut = _split(x, mask, slack)
+            if cut is None and not whole and len(x) > 4 * self.leaf:
                 whole, mask, slack = True, WHOLE, RADIUS
                 cut = _split(x, mask, slack)
             if cut:
                 v, mu = cut
                 d = _distance(x, v, mask)
-                at = len(self.nodes)
-                self.nodes.append(None)
-                self.nodes[at] = (v, mu, whole, self._grow(x[d <= mu + slack], whole, leaf, depth + 1), self._grow(x[d > mu], whole, leaf, depth + 1))
+                at = len(nodes)
+                nodes.append(None)
+                inner = self._grow(x[d <= mu + slack], whole, depth + 1, nodes)
+                nodes[at] = (v, mask, mu, slack, inner, self._grow(x[d > mu], whole, depth + 1, nodes))
                 return at
         self.leaves += 1
         return -self.leaves
 
-    def route(self, x: np.ndarray, at: int | None = None, idx: np.ndarray | None = None):
-        """(leaf, indices) for all points; a point may be in several leaves."""
-        at = self.root if at is None else at
-        idx = np.arange(len(x)) if idx is None else idx
-        if at < 0:
-            yield -at, idx
-            return
-        v, mu, whole, inner, outer = self.nodes[at]
-        d = _distance(x[idx], v, WHOLE if whole else BLOCKS[self.block])
-        if (part := idx[d <= mu + (RADIUS if whole else 0)]).size:
-            yield from self.route(x, inner, part)
-        if (part := idx[d > mu]).size:
-            yield from self.route(x, outer, part)
+    def route(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(leaf, index) of all points, level by level; a point may be in several leaves."""
+        idx, at, leaves, found = np.arange(len(x)), np.full(len(x), self.root), [], []
+        while len(idx):
+            done = at < 0
+            leaves.append(-at[done])
+            found.append(idx[done])
+            idx, at = idx[~done], at[~done]
+            d = _distance(x[idx], self.vantage[at], self.mask[at])
+            near, far = d <= self.mu[at] + self.slack[at], d > self.mu[at]
+            idx, at = np.concatenate([idx[near], idx[far]]), np.concatenate([self.inner[at[near]], self.outer[at[far]]])
+        return (np.concatenate(leaves), np.concatenate(found)) if found else (idx, idx)
 
 
 def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -166,6 +183,19 @@ def _compare(x: np.ndarray, idx: np.ndarray, label: np.ndarray, step: int = 1024
                 _join(label, rows[a], cols[b])
 
 
+def _look_up(x: np.ndarray, idx: np.ndarray, label: np.ndarray) -> None:
+    """As _compare, by looking up every point's neighbours: x[idx] rises, and all neighbours of a
+    point that matter differ from it in bits that vary at all."""
+    part = x[idx]
+    varying = [1 << b for b in range(64) if int(np.bitwise_or.reduce(part ^ part[0])) >> b & 1]
+    for mask in (*varying, *(a | b for a, b in itertools.combinations(varying, 2))):
+        want = part ^ np.uint64(mask)
+        at = np.minimum(np.searchsorted(part, want), len(part) - 1)
+        hit = part[at] == want
+        if hit.any():
+            _join(label, idx[hit], idx[at[hit]])
+
+
 def _search(x: np.ndarray, idx: np.ndarray, block: int, whole: bool, label: np.ndarray) -> None:
     if len(idx) > LEAF:
         mask, slack = (WHOLE, RADIUS) if whole else (BLOCKS[block], 0)
@@ -176,7 +206,7 @@ def _search(x: np.ndarray, idx: np.ndarray, block: int, whole: bool, label: np.n
             d = _distance(x[idx], cut[0], mask)
             _search(x, idx[d <= cut[1] + slack], block, whole, label)
             return _search(x, idx[d > cut[1]], block, whole, label)
-    return _compare(x, idx, label)
+    return _compare(x, idx, label) if len(idx) <= DENSE else _look_up(x, idx, label)
 
 
 def shard_links(points: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,24 +227,29 @@ def fingerprint_links(points: DataFrame, fp: str = "fp") -> DataFrame:
     within RADIUS bits connect."""
     spark = points.sparkSession
     total = points.count()
-    sample = [r[0] for r in points.select(fp).orderBy(F.xxhash64(fp), fp).limit(SAMPLE).collect()]
-    x = np.array(sample, np.int64).view(np.uint64)
-    leaf = max(8, int(SHARD_POINTS * len(x) / max(total, 1)))
-    trees = [Tree(x, b, leaf) for b in range(3)]
+    if not total:
+        return spark.createDataFrame([], "a long, b long")
+    # Chosen by hash, so about total / every points, SAMPLE at most but for chance.
+    every = max(PER_SAMPLED, -(-total // SAMPLE))
+    sample = points.where(F.pmod(F.xxhash64(fp), F.lit(every)) == 0).select(fp).toPandas()
+    x = np.sort(sample[fp].to_numpy(np.int64).view(np.uint64))
+    x = x[np.argsort(x * np.uint64(0x9E3779B97F4A7C15), kind="stable")]  # mixed, but the same in every run
+    trees = [Tree(x, b, max(4, SHARD_POINTS // every)) for b in range(3)]
+    shared = spark.sparkContext.broadcast(trees)
 
     def route(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             v = part["p"].to_numpy(np.int64)
-            for b, tree in enumerate(trees):
-                for leaf_no, idx in tree.route(v.view(np.uint64)):
-                    yield pd.DataFrame({"shard": np.full(len(idx), _shard_id(b, leaf_no)), "p": v[idx]})
+            got = [(_shard_id(b, leaf), idx) for b, tree in enumerate(shared.value) for leaf, idx in (tree.route(v.view(np.uint64)),)]
+            yield pd.DataFrame({"shard": np.concatenate([g[0] for g in got]), "p": v[np.concatenate([g[1] for g in got])]})
 
     def search(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         a, b = shard_links(group["p"].to_numpy(np.int64), int(key[0]) >> 24)
         return pd.DataFrame({"a": a, "b": b})
 
-    routed = points.select(F.col(fp).alias("p")).mapInPandas(route, "shard long, p long")
-    return routed.groupBy("shard").applyInPandas(search, "a long, b long") if total else spark.createDataFrame([], "a long, b long")
+    tasks = spark.sparkContext.defaultParallelism
+    routed = points.select(F.col(fp).alias("p")).repartition(max(tasks, total // 500_000)).mapInPandas(route, "shard long, p long")
+    return routed.groupBy("shard").applyInPandas(search, "a long, b long")
 
 
 def simhash_components(docs: DataFrame, id_col="doc_id", text_col="text", k: int = 3) -> DataFrame:

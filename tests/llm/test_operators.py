@@ -160,6 +160,29 @@ def test_vantage_point_links_are_exact(spark, kind):
     assert {min(groups[find(int(i))]) for i in v} == set(want) and all(min(groups[find(int(i))]) == w for i, w in zip(v, want))
 
 
+def test_dense_clusters_are_looked_up(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.unique(np.array([5 ^ sum(1 << int(b) for b in rng.choice(20, rng.integers(0, 7), replace=False)) for _ in range(900)], np.uint64))
+    plain, looked = np.arange(len(x)), np.arange(len(x))
+    simhash._compare(x, np.arange(len(x)), plain)
+    simhash._look_up(x, np.arange(len(x)), looked)
+    assert (plain == looked).all()
+
+
+def test_trees_route_pairs_together():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    near = x ^ np.array([1 << int(a) | 1 << int(b) for a, b in rng.integers(0, 64, (4000, 2))], np.uint64)
+    trees = [simhash.Tree(x[:2000], b, 64) for b in range(3)]
+    together = np.zeros(4000, bool)
+    for tree in trees:
+        assert tree.leaves > 20
+        (la, ia), (lb, ib) = tree.route(x), tree.route(near)
+        for i in set(zip(la, ia)) & set(zip(lb, ib)):
+            together[i[1]] = True
+    assert together.all()
+
+
 def test_near_dedup_keeps_one_of_each_group(spark):
     base = prose(500, 400).split()
     near = [" ".join(base[:i] + ["changed"] + base[i + 1:]) for i in (50, 150, 250)]
@@ -172,6 +195,51 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert near_dedup.near_dedup(d.limit(0)).count() == 0
 
 
+def test_near_dedup_equals_brute_force(spark):
+    """Families whose members link in chains and stars, with one member far from the next."""
+    rng = np.random.default_rng(14)
+    texts = []
+    for f in range(12):
+        base = prose(700 + f, 220).split()
+        for _ in range(14):
+            member = list(base) if rng.random() < 0.6 or not texts else texts[-1].split()
+            for at in rng.integers(0, len(member), rng.integers(1, 6)):
+                member[at] = f"new{rng.integers(0, 10**6)}"
+            texts.append(" ".join(member))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in map(words, texts)]
+    par = list(range(len(texts)))
+
+    def find(i):
+        while par[i] != i:
+            i = par[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if both and both / (len(sets[i]) + len(sets[j]) - both) >= 0.8:
+            a, b = sorted((find(i), find(j)))
+            par[b] = a
+    want = {i for i in range(len(texts)) if find(i) == i}
+    assert 20 < len(want) < 120
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("__k", F.lit("mine")).repartition(4)
+    out = near_dedup.near_dedup(d)
+    assert out.columns == d.columns and {r.doc_id for r in out.collect()} == want
+
+
+def test_members_of_different_leaders_meet(spark):
+    base = prose(800, 300).split()
+    change = lambda *at: " ".join(f"c{i}" if i in at else w for i, w in enumerate(base))
+    texts = {0: change(*range(20, 200, 30)), 1: change(*range(30, 210, 30)), 2: change(*range(20, 110, 30)), 3: change(*range(30, 120, 30))}
+    assert near_dedup.jaccard(texts[2], texts[3], 5) >= 0.8 > near_dedup.jaccard(texts[0], texts[1], 5)
+    nodes = spark.createDataFrame(list(texts.items()), "node long, t string")
+    groups = nodes.select(F.lit(1).alias("key"), "node", F.lit([0] * (near_dedup.SKETCH // 32)).cast("array<long>").alias("sketch"))
+    none = spark.createDataFrame([], "a long, b long")
+    matched = spark.createDataFrame([(1, 2), (1, 3)], "key long, node long")
+    roots = spark.createDataFrame([(2, 0), (3, 1)], "node long, root long")
+    got = near_dedup.lost_links(groups, matched, none, roots, nodes, 5, 0.8).collect()
+    assert (2, 3) in {tuple(r) for r in got}
+
+
 # 3 ---------------------------------------------------------------------------------------------
 PAGES = [
     (1, "http://a/", "<p>one</p>"), (2, "http://b/", "<p>one</p>"), (3, None, None), (4, "http://c/", ""), (5, "http://d/", "x\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc"),

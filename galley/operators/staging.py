@@ -3,6 +3,7 @@
 ``checkpoint()`` on a DataFrame evaluates it twice (once to count, once to write), so lineage is
 cut with a written Parquet table instead: one evaluation, columnar, readable after an executor
 is lost.  The folder is ``spark.checkpoint.dir``; only a local[*] session may go without one.
+An application's tables are deleted when it ends; a job in steps can ``remove`` them earlier.
 """
 
 from __future__ import annotations
@@ -32,8 +33,38 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Paths made in this process, by application id, oldest first.
+_made: dict[str, list[str]] = {}
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/galley-{uuid.uuid4().hex}/{label}"
+    """A fresh path in the application's own folder, which is deleted when the driver ends."""
+    app = spark.sparkContext.applicationId
+    folder = f"{shared_dir(spark)}/galley-{app}"
+    if app not in _made:
+        files, at = _file_system(spark, folder)
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+    _made.setdefault(app, []).append(f"{folder}/{uuid.uuid4().hex}/{label}")
+    return _made[app][-1]
+
+
+def made(spark: SparkSession) -> list[str]:
+    """The written tables of this application that have not been removed, oldest first."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that nothing will read again."""
+    for path in paths:
+        files, at = _file_system(spark, path)
+        files.delete(at.getParent(), True)
+        _made[spark.sparkContext.applicationId].remove(path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -7,16 +7,17 @@ is the fraction of the rate.
 Cases: a null or empty text has size 0 and still gets its copies (taking no words); a null source
 is a source of its own, last in order; a source without words has target 0 and rate 1, so its
 documents pass once; rows that repeat id and source share one coin; a table without words gives
-targets 0.  Extra columns are carried; a column that an output name clashes with is replaced.
+targets 0; an empty table gives no rows; very long texts are counted whole.  Extra columns are carried by ``mix``, whatever
+their names; the report does not read them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .staging import key_of, small_side, staged, unit_hash
+from ..operators.windows import numbered
+from .staging import fresh, key_of, small_side, staged, unit_hash
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -31,38 +32,24 @@ def word_count(text) -> object:
 def targets(by_source: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """(key, source, source_size) to the same with target.
 
-    One row per source, so the global windows run over the table of sources, never over
-    documents.  Sources by ratio of cap to weight: a prefix of them is capped, and the rest share
-    what is left by weight.  All sums are integers; a target takes one division.
+    Weights follow from the sources' global places, which come from range partitions.  Then, as the
+    rule says, what the sources that are above their caps leave over is shared again by weight until none is above: each
+    round is one aggregate over the table of sources.  All sums are integers; a target takes one division.
     """
-    size = len(weights)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(order) - 1) % size + 1
-    t = by_source.withColumn("w", F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), place))
-    t = t.withColumn("cap", F.col("source_size") * max_repeat)
-    scale = 1
-    for w in weights:
-        scale *= w
-    before = Window.orderBy(F.col("ratio"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("ratio", F.expr(f"cap * {scale} div w"))
-    t = t.select(
-        "*",
-        F.sum("source_size").over(everything).alias("total"),
-        F.sum("w").over(everything).alias("wtotal"),
-        F.coalesce(F.sum("cap").over(before), F.lit(0)).alias("cap_before"),
-        F.coalesce(F.sum("w").over(before), F.lit(0)).alias("w_before"),
-    )
-    dec = lambda c: F.col(c).cast("decimal(19,0)")  # noqa: E731  products may pass 2**63
-    t = t.withColumn("capped", dec("cap") * (dec("wtotal") - dec("w_before")) < dec("w") * (dec("total") - dec("cap_before")))
-    spent = lambda c: F.sum(F.when(F.col("capped"), F.col(c)).otherwise(0)).over(everything)
-    t = t.withColumn("rest", F.col("total") - spent("cap")).withColumn("wrest", F.col("wtotal") - spent("w"))
-    return t.select(
-        "key", "source", "source_size",
-        F.when(F.col("capped"), F.col("cap").cast("double"))
-        .otherwise(F.try_divide(F.col("w").cast("double") * F.col("rest").cast("double"), F.col("wrest").cast("double")))
-        .alias("target"),
-    )
+    places = numbered(by_source.withColumn("none", F.col("source").isNull()), ["none", "source"], "place")
+    w = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    t = staged(places.select("key", "source", "source_size", w.alias("w"), (F.col("source_size") * max_repeat).alias("cap")), "weights")
+    dec = lambda c: F.col(c).cast("decimal(38,0)")  # noqa: E731  sums and products may pass 2**63
+    total, rest, wrest = t.agg(F.sum(dec("source_size")), F.sum(dec("source_size")), F.sum(dec("w"))).first()
+    capped = F.lit(False)
+    while wrest:
+        capped = dec("cap") * F.lit(wrest) < dec("w") * F.lit(rest)
+        spent, left = t.agg(F.sum(F.when(capped, dec("cap")).otherwise(0)), F.sum(F.when(capped, 0).otherwise(dec("w")))).first()
+        if (total - spent, left) == (rest, wrest):
+            break
+        rest, wrest = total - spent, left
+    share = F.try_divide(F.col("w").cast("double") * F.lit(float(rest or 0)), F.lit(float(wrest or 0)))
+    return t.select("key", "source", "source_size", F.when(capped, F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
 def rates(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -81,11 +68,11 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
         weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
     """``docs`` with every row as often as the mix takes it (zero times or more)."""
     sizes = docs.select(key_of(F.col(source_col)).alias("key"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    r = rates(sizes, weights, max_repeat).select(F.col("key").alias("__mix_key"), F.col("rate").alias("__mix_rate"))
-    out = docs.withColumn("__mix_key", key_of(F.col(source_col))).join(small_side(r), "__mix_key")
-    n = copies(F.col("__mix_rate"), seed, F.col(id_col), F.col(source_col))
-    out = out.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), n.cast("int"))))
-    return out.drop("__mix_key", "__mix_rate", "__mix_copy")
+    key, rate, copy = (fresh(docs, c) for c in ("__key", "__rate", "__copy"))
+    r = rates(sizes, weights, max_repeat).select(F.col("key").alias(key), F.col("rate").alias(rate))
+    out = docs.withColumn(key, key_of(F.col(source_col))).join(small_side(r), key)
+    n = copies(F.col(rate), seed, F.col(id_col), F.col(source_col))
+    return out.withColumn(copy, F.explode(F.array_repeat(F.lit(1), n.cast("int")))).drop(key, rate, copy)
 
 
 def mixture_report(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:

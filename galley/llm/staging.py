@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators import staging as plain
-from ..operators.staging import key_of, new_path, small_side, unit_hash
+from ..operators.staging import key_of, made, new_path, remove, small_side, unit_hash
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -32,4 +32,4 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-__all__ = ["fresh", "key_of", "new_path", "small_side", "staged", "unit_hash"]
+__all__ = ["fresh", "key_of", "made", "new_path", "remove", "small_side", "staged", "unit_hash"]

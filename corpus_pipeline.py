@@ -7,14 +7,15 @@ DataFrame.  All stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from galley.llm import knn_quality, line_rules, mixing, near_dedup, packing
-from galley.llm.staging import staged
+from galley.llm.staging import made, remove, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted by cross-document lines."""
-    return line_rules.keep_good(docs)
+    """Documents that pass the base rules and are not depleted by cross-document lines, without these lines."""
+    return line_rules.keep_good(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``.  What a stage has written for itself, and its input, is removed
+    when its result lies in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = set(made(spark))
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
+        remove(spark, [path for path in made(spark)[:-1] if path not in before])
     return docs

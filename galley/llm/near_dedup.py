@@ -2,7 +2,7 @@
 
 At five-word shingles and a Jaccard similarity of 0.8 two 64-bit SimHashes differ by about 10
 bits, so the 2-bit links of the vantage-point trees alone find few of these pairs.  Candidates
-are therefore texts that share any of: the component of their SimHash (``simhash``), or one of
+are therefore texts that share any of: a star of SimHashes within 2 bits (``simhash``), or one of
 BANDS keys, each the hash of the ROWS least shingles under a seeded permutation, which agree with
 probability J ** ROWS (all BANDS miss a pair at 0.8 once in 400).  Every candidate is verified by
 the exact Jaccard similarity of the whole texts' shingle sets.
@@ -12,7 +12,7 @@ places: two texts at 0.8 differ in 76.8 on average with a deviation of 8.1, so t
 deviations above, loses less than one such pair in a million, and drops most pairs below 0.7.
 
 A key's members are not paired with each other: its least member leads, all others are verified
-against it, and those that fail form the key's next group, which has twice as many leaders, and
+against it, and those that fail form the key's next group, which has four times as many leaders, and
 so on until none is left.  Two members that match different leaders have not met; where their
 components still differ at the end, they are compared as well (``lost_links``), so every two texts that
 share a key and are similar enough end in one component.  A key whose n members are all unlike costs
@@ -114,7 +114,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
 
 def similar_links(groups: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Staged (key, node, sketch) memberships to verified links (a, b), members that left their group
-    by a match (key, node), and all pairs that were verified (a, b).  Round r has 2 ** r leaders per key."""
+    by a match (key, node), and all pairs that were verified (a, b).  Round r has 4 ** r leaders per key."""
     links, matched, tested, leaders = None, None, None, 1
     more = lambda old, new: new if old is None else old.unionByName(new)
     while True:
@@ -131,15 +131,17 @@ def similar_links(groups: DataFrame, texts: DataFrame, shingle: int, similarity:
         groups = staged(groups.join(led.distinct(), ["key", "node"], "left_anti"), "groups")
         if groups.isEmpty():
             return links, matched, tested
-        leaders *= 2
+        leaders *= 4
 
 
-def lost_links(groups: DataFrame, matched: DataFrame, tested: DataFrame, components: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+def lost_links(groups: DataFrame, matched: DataFrame, tested: DataFrame, components: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame | None:
     """Staged links (a, b) between texts that share a key and have not met, since one left its group
-    by a match, where their components differ."""
+    by a match, where their components differ; None where there is no such key."""
     members = groups.join(components, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo <> hi AND n > 2").select("key")
-    apart = apart.join(matched.select("key").distinct(), "key", "left_semi")
+    apart = staged(apart.join(matched.select("key").distinct(), "key", "left_semi"), "apart")
+    if apart.isEmpty():
+        return None
     members = staged(members.join(apart, "key", "left_semi"), "members")
     one = members.join(matched.distinct(), ["key", "node"], "left_semi").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("sketch").alias("x_sketch"))
     pairs = members.join(one, "key").where((F.col("root") != F.col("x_root")) & (places_apart("sketch", "x_sketch") <= SKETCH_LIMIT))
@@ -160,8 +162,11 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     points = rows.groupBy("same").agg(first.alias("first"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys"), F.any_value("sketch").alias("sketch"))
     points = staged(points.select("first", "fp", "keys", "sketch", F.monotonically_increasing_id().alias("node")), "points")
     fps = staged(points.select("fp").distinct(), "fps")
-    comp = connected_components(fingerprint_links(fps), "a", "b").select(F.col("node").alias("fp"), "root")
-    roots = points.select("fp", "node").join(comp, "fp", "left").select(F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("key"), "node")
+    # A pair within 2 bits lies in one shard's star; the star's centre is its key, so no components are needed here.
+    stars = staged(fingerprint_links(fps), "stars")
+    centre = stars.select(F.col("a").alias("fp"), F.col("b").alias("centre")).unionByName(stars.select(F.col("b").alias("fp"), F.col("b").alias("centre"))).distinct()
+    roots = points.select("fp", "node").join(centre.unionByName(fps.select("fp", F.col("fp").alias("centre"))).distinct(), "fp")
+    roots = roots.select(F.xxhash64(F.lit("fp"), "centre").alias("key"), "node")
     groups = roots.unionByName(points.select(F.explode("keys").alias("key"), "node"))
     shared = groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     groups = groups.join(shared, "key").distinct()
@@ -172,7 +177,7 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     links, matched, tested = similar_links(groups, texts, shingle, similarity)
     found = connected_components(links, "a", "b")
     lost = lost_links(groups, matched, tested, found, texts, shingle, similarity)
-    if not lost.isEmpty():
+    if lost is not None and not lost.isEmpty():
         found = connected_components(links.unionByName(lost), "a", "b")
     keepers = points.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     name = fresh(docs, "__k")

@@ -13,9 +13,11 @@ deviations above, loses less than one such pair in a million, and drops most pai
 
 A key's members are not paired with each other: its least member leads, all others are verified
 against it, and those that fail form the key's next group, which has four times as many leaders, and
-so on until none is left.  Two members that match different leaders have not met; where their
-components still differ at the end, they are compared as well (``lost_links``), so every two texts that
-share a key and are similar enough end in one component.  A key whose n members are all unlike costs
+so on until none is left.  Leaders are the least in the order in which rows are kept, so a row
+that left a group by a match is never kept, and all kept rows that share a key have met: no two of them are
+near-duplicates.  Two members that match different leaders don't meet; if no other key joins their leaders' components,
+and the leaders themselves are unlike, both leaders stay.  (Comparing all such members as well was tried: in a
+group of thousands of near copies it makes pairs as the square of the group.)  A key whose n members are all unlike costs
 comparisons of sketches, in the JVM, of the order of n ** 2; only pairs that pass are rows.
 
 Equal texts (after lower-casing A-Z and collapsing blanks) are collapsed first.  Of each group the
@@ -112,43 +114,26 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return pairs.join(t("a"), "a").join(t("b"), "b").select("a", "b", alike("ta", "tb").alias("ok"))
 
 
-def similar_links(groups: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Staged (key, node, sketch) memberships to verified links (a, b), members that left their group
-    by a match (key, node), and all pairs that were verified (a, b).  Round r has 4 ** r leaders per key."""
-    links, matched, tested, leaders = None, None, None, 1
-    more = lambda old, new: new if old is None else old.unionByName(new)
+def similar_links(groups: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Staged (key, node, first, sketch) memberships to verified links (a, b).  Round r has 4 ** r
+    leaders per key, the least by ``first``."""
+    links, leaders = None, 1
     while True:
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("first"))
         lead = groups.withColumn("r", rank).where(F.col("r") <= leaders)
-        lead = staged(lead.select("key", F.col("node").alias("a"), F.col("sketch").alias("lead_sketch")), "leaders")
-        rest = groups.join(lead, "key").where((F.col("node") > F.col("a")) & (places_apart("sketch", "lead_sketch") <= SKETCH_LIMIT))
+        lead = staged(lead.select("key", F.col("node").alias("a"), F.col("first").alias("lead_first"), F.col("sketch").alias("lead_sketch")), "leaders")
+        rest = groups.join(lead, "key").where((F.col("first") > F.col("lead_first")) & (places_apart("sketch", "lead_sketch") <= SKETCH_LIMIT))
         rest = staged(rest.select("key", "a", F.col("node").alias("b")), "rest")
         done = staged(verified(rest.select("a", "b").distinct(), texts, shingle, similarity), "verified", VERIFY_ROWS)
         good = done.where("ok").select("a", "b")
-        left = staged(rest.join(good, ["a", "b"]).select("key", F.col("b").alias("node")).distinct(), "matched")
-        links, matched, tested = more(links, good), more(matched, left), more(tested, done.select("a", "b"))
-        led = lead.select("key", F.col("a").alias("node")).unionByName(left)
+        links = good if links is None else links.unionByName(good)
+        led = lead.select("key", F.col("a").alias("node")).unionByName(rest.join(good, ["a", "b"]).select("key", F.col("b").alias("node")))
         groups = staged(groups.join(led.distinct(), ["key", "node"], "left_anti"), "groups")
         if groups.isEmpty():
-            return links, matched, tested
+            return links
         leaders *= 4
 
 
-def lost_links(groups: DataFrame, matched: DataFrame, tested: DataFrame, components: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame | None:
-    """Staged links (a, b) between texts that share a key and have not met, since one left its group
-    by a match, where their components differ; None where there is no such key."""
-    members = groups.join(components, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo <> hi AND n > 2").select("key")
-    apart = staged(apart.join(matched.select("key").distinct(), "key", "left_semi"), "apart")
-    if apart.isEmpty():
-        return None
-    members = staged(members.join(apart, "key", "left_semi"), "members")
-    one = members.join(matched.distinct(), ["key", "node"], "left_semi").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("sketch").alias("x_sketch"))
-    pairs = members.join(one, "key").where((F.col("root") != F.col("x_root")) & (places_apart("sketch", "x_sketch") <= SKETCH_LIMIT))
-    pairs = pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    return staged(verified(pairs, texts, shingle, similarity).where("ok").select("a", "b"), "lost", VERIFY_ROWS)
-
-
 def row_key(id_col: str, text_col: str) -> object:
     return F.md5(F.concat_ws("|", key_of(F.col(id_col)), key_of(F.col(text_col))).cast("binary"))
 
@@ -170,15 +155,11 @@ def near_dedup(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int =
     groups = roots.unionByName(points.select(F.explode("keys").alias("key"), "node"))
     shared = groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     groups = groups.join(shared, "key").distinct()
-    groups = staged(groups.join(points.select("node", "sketch"), "node"), "groups")
+    groups = staged(groups.join(points.select("node", "first", "sketch"), "node"), "groups")
     wanted = points.join(groups.select("node").distinct(), "node").select("node", F.col("first.k").alias("k"))
     texts = docs.select(k.alias("k"), F.col(text_col).alias("t")).join(small_side(staged(wanted, "wanted")), "k")
     texts = staged(texts.dropDuplicates(["node"]) if repeats else texts, "texts").select("node", "t")
-    links, matched, tested = similar_links(groups, texts, shingle, similarity)
-    found = connected_components(links, "a", "b")
-    lost = lost_links(groups, matched, tested, found, texts, shingle, similarity)
-    if lost is not None and not lost.isEmpty():
-        found = connected_components(links.unionByName(lost), "a", "b")
+    found = connected_components(similar_links(groups, texts, shingle, similarity), "a", "b")
     keepers = points.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     name = fresh(docs, "__k")
     gone = staged(rows.select("k").join(keepers.select("first.k"), "k", "left_anti").distinct().withColumnRenamed("k", name), "gone")

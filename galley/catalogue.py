@@ -444,7 +444,7 @@ def argmax_dim(spark, sf_dir):
 
 
 # Texts -----------------------------------------------------------------------------------------
-_PUNCT = ",.?!$%&():;-\"''"
+_PUNCT = ',.?!$%&():;-"'
 _TOKENS = f"SELECT doc_id, unnest(string_split_regex(translate(lower(text), '{_PUNCT}', ''), '[ \\t\\n\\r\\f\\v]+')) AS term FROM documents"
 
 
@@ -468,7 +468,7 @@ def depunctuate(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(p.cast("binary")).alias("plain"), F.length(p).cast("long").alias("n"))
 
 
-@query("SELECT doc_id, md5(replace(replace(replace(replace(replace(text, '“', '\"'), '”', '\"'), '„', '\"'), '''''', '\"'), '``', '\"')) AS clean FROM documents")
+@query("SELECT doc_id, md5(regexp_replace(text, '“|”|''''|‘‘|’’', '\"', 'g')) AS clean FROM documents")
 def clean_quotes(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.clean_quotes(F.col("text")).cast("binary")).alias("clean"))
 
@@ -486,7 +486,7 @@ def line_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
 
 
-@query("SELECT doc_id, t, regexp_matches(t, '^\\p{Nd}+$') AS is_number, regexp_matches(w, '^\\p{Lu}\\.$') AS is_initial, NOT regexp_matches(w, '^\\p{Lu}') AS isnt_cap, regexp_matches(w, '^\\p{Lu}*$') AS all_caps FROM (SELECT doc_id, w, translate(w, '" + _PUNCT + "', '') AS t FROM (SELECT doc_id, unnest(list_distinct(string_split(text, ' '))) AS w FROM documents))")
+@query("SELECT doc_id, t, regexp_matches(t, '^\\p{Nd}+$') AS is_number, regexp_matches(w, '^\\p{Lu}\\.$') AS is_initial, ((lower(w) = w AND upper(w) <> w) OR contains('!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~', w)) AS isnt_cap, regexp_matches(w, '^\\p{Lu}*$') AS all_caps FROM (SELECT doc_id, w, translate(w, '" + _PUNCT + "', '') AS t FROM (SELECT doc_id, unnest(list_distinct(string_split(text, ' '))) AS w FROM documents))")
 def token_kinds(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("w"))
     w = F.col("w")
@@ -523,7 +523,7 @@ def yolo_lines(spark, sf_dir):
 
 
 @query("""WITH a AS (SELECT regexp_replace(text, '[^\\x01-\\x7F]', '', 'g') AS t FROM conversations),
-p AS (SELECT t AS raw, trim(replace(replace(t, '''''', '"'), '``', '"'), ' ') AS g, trim(replace(replace(replace(translate(t, 'ae', 'oi'), 'th', 't'), '''''', '"'), '``', '"'), ' ') AS p FROM a)
+p AS (SELECT t AS raw, trim(replace(t, '''''', '"'), ' ') AS g, trim(replace(replace(translate(t, 'ae', 'oi'), 'th', 't'), '''''', '"'), ' ') AS p FROM a)
 SELECT count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (WHERE g = p) / count(*), 6) AS accuracy, round(sum(levenshtein(g, p))::DOUBLE / sum(length(raw))::DOUBLE, 6) AS cer FROM p""")
 def cer_eval(spark, sf_dir):
     a = F.regexp_replace("text", r"[^\x01-\x7F]", "")

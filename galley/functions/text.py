@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PUNCTUATION = ",.?!$%&():;-\"'"
-ABBREVIATIONS = ("mr.", "mrs.", "ms.", "dr.", "st.", "no.", "co.", "jr.", "sr.", "hon.", "rev.", "gen.", "col.")
-#: Curly and doubled quotes in the order in which they are replaced.
-QUOTES = ("“", "”", "„", "''", "``")
+# Fixed values, which results depend on: marks that a token loses, abbreviations, and quotes in the
+# order in which they are replaced.
+PUNCTUATION = ',.?!$%&():;-"'
+ABBREVIATIONS = ("dr.", "est.", "i.e.", "jr.", "inc.", "ltd.", "mr.", "mrs.", "ms.", "oz.", "sr.", "vs.", "e.g.")
+QUOTES = ("“", "”", "''", "‘‘", "’’")
 
 
 def clean_quotes(s: Column) -> Column:
@@ -35,8 +38,9 @@ def is_abbreviation(s: Column) -> Column:
 
 
 def isnt_capital(s: Column) -> Column:
-    """First character is no capital; true for the empty text."""
-    return ~s.rlike(r"^\p{Lu}")
+    """All cased characters are small and there is one, or a run of ASCII punctuation in the order of
+    its code points (also the empty text)."""
+    return (s.rlike(r"\p{Ll}") & ~s.rlike(r"[\p{Lu}\p{Lt}]")) | F.contains(F.lit(string.punctuation), s)
 
 
 def all_capitals(s: Column) -> Column:

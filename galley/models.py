@@ -122,8 +122,9 @@ def encode(crops: DataFrame, make: Callable[[], Encoder], content: str = "conten
                         try:
                             rows.append(np.asarray(model([c]), np.float64)[0])
                         except Exception:  # noqa: BLE001
-                            rows.append(np.zeros(1))
-            yield pd.Series([r.tolist() for r in rows])
+                            rows.append(None)
+            width = next((len(r) for r in rows if r is not None), 0)
+            yield pd.Series([[0.0] * width if r is None else r.tolist() for r in rows])
 
     return crops.withColumn(out, run(F.col(content)))
 

@@ -81,19 +81,20 @@ def line_margins(chars: DataFrame, line: str = "line_id") -> DataFrame:
 
 def repair_case(chars: DataFrame, line: str = "line_id", anchor_margin: float | None = None, anchor_multiplier: float = 4) -> DataFrame:
     """Characters (line, char_idx, label, y0, y1, starts_word) to one text per line, a blank before
-    word starts.  With ``anchor_margin`` glyph heights and bottoms are compared with the averages
-    of the line's unmistakable lower-case letters: look-alike letters much taller than these become
-    capitals, capitals no taller become small, and points far above the base line apostrophes."""
+    word starts.  With ``anchor_margin`` glyphs are compared with the average height and bottom of the
+    line's unmistakable lower-case letters: within the margin of the height they become small,
+    above margin times multiplier look-alike letters become capitals, and a dash with its bottom on theirs
+    is a point."""
     h, bottom = F.col("y1") - F.col("y0"), F.col("y1")
     label = F.col("label")
     if anchor_margin is not None:
         w = Window.partitionBy(line)
         sure = label.isin(*DISTINCT_LOWER)
         avg_h, avg_b = F.avg(F.when(sure, h)).over(w), F.avg(F.when(sure, bottom)).over(w)
-        plain = F.lower(label).isin(*PLAIN_LOWER)
-        label = (F.when(plain & (label == F.lower(label)) & (h > avg_h * (1 + anchor_margin)), F.upper(label))
-                 .when(plain & (label == F.upper(label)) & (h < avg_h * (1 + anchor_margin)), F.lower(label))
-                 .when((label == ".") & (avg_b - bottom > anchor_multiplier * h * anchor_margin), F.lit("'")).otherwise(label))
+        near = F.coalesce(F.abs(h - avg_h) < anchor_margin * avg_h, F.lit(False))
+        low = F.when(near, F.lower(label)).otherwise(label)
+        tall = low.isin(*PLAIN_LOWER) & (h - avg_h > anchor_margin * anchor_multiplier * avg_h)
+        label = F.when(tall, F.upper(low)).when((low == "-") & (F.abs(bottom - avg_b) < anchor_margin * avg_h), F.lit(".")).otherwise(low)
     c = chars.withColumn("t", F.concat(F.when(F.col("starts_word") & (F.col("char_idx") > 0), " ").otherwise(""), label))
     return c.groupBy(line).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("char_idx", "t"))), lambda x: x["t"]), "").alias("text"))
 

@@ -59,7 +59,8 @@ def with_hard_negatives(batches: DataFrame, negatives: DataFrame, label: str, se
     """Each hard negative (label, with repeats) goes to a batch by hash, at its boundary; rows get
     ``hard`` and the columns that they have."""
     n = batches.select("batch").distinct().count()
-    extra = negatives.withColumn("batch", F.pmod(F.xxhash64(F.col(label), F.monotonically_increasing_id(), F.lit(seed)), F.lit(max(n, 1))))
+    repeat = F.row_number().over(Window.partitionBy(label).orderBy(*negatives.columns))  # equal input, equal batches
+    extra = negatives.withColumn("batch", F.pmod(F.xxhash64(F.col(label), repeat, F.lit(seed)), F.lit(max(n, 1))))
     return batches.withColumn("hard", F.lit(False)).unionByName(extra.withColumn("hard", F.lit(True)), allowMissingColumns=True)
 
 

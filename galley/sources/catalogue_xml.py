@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import batch_line_path, edition_id, page_id, raw_location, title_parts, uri_tail, year_range
+from ..functions.text import batch_line_path, edition_id, pad_left, page_id, raw_location, title_parts, uri_tail, year_range
+from ..operators.staging import small_side
 
 L = "*[local-name()='%s']"
 
@@ -39,11 +40,11 @@ def titles(docs: DataFrame, lccn: str = "lccn", xml: str = "xml", languages: Dat
         F.col(lccn).alias("lccn"), span["start"].alias("start_year"), span["end"].alias("end_year"),
         tail(F.concat(_resources(xml, "language"), _all(xml, f"//{L % 'language'}/text()"))).alias("languages"),
         F.transform(_resources(xml, "successorOf"), lambda u: F.split_part(uri_tail(u), F.lit("#"), F.lit(1))).alias("succeeds"),
-        F.transform(_resources(xml, "succeededBy"), lambda u: F.split_part(uri_tail(u), F.lit("#"), F.lit(1))).alias("successors"),
-        F.filter(tail2(_resources(xml, "aggregates")), lambda e: e.isNotNull()).alias("editions"))
+        F.transform(_resources(xml, "successor"), lambda u: F.split_part(uri_tail(u), F.lit("#"), F.lit(1))).alias("successors"),
+        tail2(F.filter(_resources(xml, "aggregates"), lambda u: u.contains("#issue"))).alias("editions"))
     if languages is None:
         return out
-    names = out.select("lccn", F.explode("languages").alias("code")).join(F.broadcast(languages.limit(10_000)), "code", "left").groupBy("lccn").agg(F.sort_array(F.collect_set(F.coalesce("name", "code"))).alias("languages"))
+    names = out.select("lccn", F.explode("languages").alias("code")).join(small_side(languages), "code", "left").groupBy("lccn").agg(F.sort_array(F.collect_set(F.coalesce("name", "code"))).alias("languages"))
     return out.drop("languages").join(names, "lccn", "left")
 
 
@@ -101,7 +102,7 @@ def mets_manifest(docs: DataFrame, url: str = "url", xml: str = "xml", base: str
     entry = lambda i: F.struct(F.get("numbers", i).alias("key"), F.struct(
         F.get("numbers", i).alias("page_number"), F.concat(F.lit(base), folder, F.get("files", i)).alias("page_url"),
         F.concat(F.lit(base), folder, F.regexp_replace(F.get("files", i), r"\.jp2$", ".xml")).alias("page_ocr"), F.get("reels", i).alias("reel_number"),
-        F.lpad(F.get("seqs", i), 4, "0").alias("reel_sequence_number")).alias("value"))
+        pad_left(F.get("seqs", i), 4).alias("reel_sequence_number")).alias("value"))
     each = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), entry))
     last = F.filter(each, lambda e, i: F.size(F.filter(F.slice(each, i + 2, n), lambda o: o["key"] == e["key"])) == 0)
     return d.select(

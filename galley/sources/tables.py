@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.staging import small_side
 from ..schemas import SCAN_DDL
 
 IMAGES = ("jpg", "jpeg", "png", "jp2")
@@ -171,8 +172,8 @@ def label_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def named_classes(rows: DataFrame, names: DataFrame, cls: str = "cls") -> DataFrame:
-    """Adds ``class``: the name, or the number itself where it has none.  The map is a few rows."""
-    n = F.broadcast(names.select(F.col("cls").alias("__c"), F.col("name").alias("__n")).limit(1000))
+    """Adds ``class``: the name, or the number itself where it has none."""
+    n = small_side(names.select(F.col("cls").alias("__c"), F.col("name").alias("__n")))
     return rows.join(n, F.col(cls) == F.col("__c"), "left").withColumn("class", F.coalesce("__n", F.col(cls).cast("string"))).drop("__c", "__n")
 
 

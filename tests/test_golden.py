@@ -117,12 +117,30 @@ def test_texts(spark):
         T.title_parts(lit("Daily News. (Boston, Mass.) 1900-01-02")).alias("t"), T.title_parts(lit("Sun [Rome], 1901")).alias("t2"), T.title_parts(lit("Sun, Rome, 1901")).alias("t3"),
         T.yolo_line(lit("1 0.5 0.5 0.1 0.2")).alias("yl"), T.edit_share(lit("ab"), lit("abcd")).alias("es"), T.clean_name(lit("a|b@c")).alias("cn"), T.split_keeping(lit("a b-c")).alias("sk"),
         T.majority_normalise(lit("th1s"), {"1": "i"}, {}).alias("mn"), T.majority_normalise(lit("19O5"), {}, {"O": "0"}).alias("mn2"), T.dashed_date(lit("19000102")).alias("dd"))
-    assert r.q == '"a" "b"' and r.p == "abc" and r.n and r.i and r.ab and r.ac and r.ci and r.cp == "H€😀"
+    assert r.q == '"a" "b"' and r.p == "abc'" and r.n and r.i and r.ab and r.ac and r.ci and r.cp == "H€😀"
     assert r.pt == "a_b_c_d.jp2" and r.pl == "123" and r.e == "1900-01-02/ed-3" and r.e2 == "1900-01-02/ed-1" and r.pg == "seq-7" and tuple(r.y) == ("18??", "1900")
     assert r.u == "about" and r.fd == "1900-01-02" and tuple(r.t) == ("Daily News", "Boston", "Mass", "1900-01-02") and r.t2.name == "Sun" and r.t2.city == "Rome" and r.t3.date == "1901"
     assert r.yl.c == 1 and r.es == 0.5 and r.cn == "a_b_c" and "".join(r.sk) == "a b-c" and r.mn == "this" and r.mn2 == "1905" and r.dd == "1900-01-02"
 
 
+def test_fixed_values_of_tokens(spark):
+    """Expected values from the written semantics, not from the engine."""
+    lit = F.lit
+    r = value(
+        spark, T.clean_quotes(lit("“a” ‘‘b’’ ''c'' „d“ `e`")).alias("q"), F.array(*[T.isnt_capital(lit(x)) for x in ("word", "don't", "a1", "1900", "eBay", "The", "!", "", "-.", ".-")]).alias("c"),
+        F.array(*[T.is_abbreviation(lit(x)) for x in ("Est.", "i.e.", "OZ.", "st.", "no.", "dr")]).alias("a"))
+    assert r.q == '"a" "b" "c" „d" `e`'
+    assert r.c == [True, True, True, False, False, False, True, True, True, False]
+    assert r.a == [True, True, True, False, False, False]
+
+
+def test_case_is_repaired_by_heights(spark):
+    rows = [(0, "a", 10, 20, True), (1, "W", 10, 20, False), (2, "s", 0, 20, False), (3, "o", 9, 20, False), (4, "-", 18, 20, False), (5, "-", 12, 14, True), (6, "e", 10, 20, False), (7, "T", 0, 20, False)]
+    c = spark.createDataFrame([(1, *r) for r in rows], "line_id int, char_idx int, label string, y0 int, y1 int, starts_word boolean")
+    assert lines.repair_case(c, anchor_margin=0.2).first().text == "awSo. -eT"
+    assert lines.repair_case(c).first().text == "aWso- -eT"
+
+
 def test_spelling(spark):
     terms = {"the": 50, "cat": 10, "cart": 3, "house": 5}
     c = spell.SymmetricDelete(terms, 2)
@@ -130,12 +148,14 @@ def test_spelling(spark):
     assert spell.correct_text("Teh cst.", c, "full_text") == "The cat." and spell.correct_text("Teh cst", c, "word").endswith("cat")
     v = spell.VisualChecker(terms, {"0": ["o"], "c": ["e"], "1": ["l", "i"]})
     assert v.text("h0use THE 1900 thc") == "house THE 1900 the"
-    assert spell.join_broken_words(["a big ho-", "use the", "", "ca", "t x"], terms) == ["a big house", "the", "cat", "x"]
-    assert spell.fix_capitals(["Hi.", "the", "CAT", "", "I"], terms) == ["Hi.", "The", "cat", "", "I"]
+    assert spell.join_broken_words(["a big ho-", "use the", "", "ca", "t x"], terms) == ["a big house", "the", "", "cat", "x"]
+    assert spell.join_broken_words(["a ho-", "", "use"], terms) == ["a ho-", "", "use"]  # not over a blank line
+    assert spell.fix_capitals(["Hi.", "the", "CAT", "", "I"], terms) == ["Hi.", "The", "CAT", "", "I"]
+    assert spell.fix_capitals(["Hi!", "oNCE", "the", "i"], terms) == ["Hi!", "Once", "the", "i"]
     d = spark.createDataFrame([(1, "Teh ho-\nuse"), (2, None)], "id int, text string")
     words = spark.createDataFrame(list(terms.items()), "term string, freq long")
     got = {r.id: r.clean for r in spell.postprocess(d, words).collect()}
-    assert got == {1: "The house", 2: None}
+    assert got == {1: "The house\n", 2: None}
     checks = spell.with_spell_checks(d.withColumnRenamed("text", "raw_text"), words).where("id = 1").first()
     assert checks.spell_check_word.startswith("the") and checks.spell_check_full_text.startswith("The")
     g = {r.char: r.others for r in spell.homoglyphs(spark.createDataFrame([("o", "0", .9), ("o", "c", .95), ("a", "b", .1)], "a string, b string, sim_score double")).collect()}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .operators.knn import nearest, pooled, with_fallback
 from .operators.lines import end_mark, recognised_words
+from .operators.staging import staged
 from .schemas import LEGIBILITY, NO_LEGIBILITY
 
 BATCH = 64
@@ -147,9 +148,10 @@ def recognise(words: DataFrame, chars: DataFrame, word_refs: DataFrame, char_ref
     with text: the last character is looked at for an end mark, the word's nearest neighbour counts
     above the threshold, else its characters do."""
     found = nearest(words.select(F.col("word_id").alias("query_id"), "vec"), word_refs).select(F.col("query_id").alias("word_id"), F.col("label").alias("word_label"), F.col("sim").alias("word_sim"))
-    key = F.col("word_id") * 4096 + F.col("char_idx")
-    near = nearest(chars.select(key.alias("query_id"), "vec"), char_refs).select(F.col("query_id"), "label")
-    spelled = chars.select("word_id", "char_idx", key.alias("query_id")).join(near, "query_id").groupBy("word_id").agg(
+    # A character has two keys; in a written table one number of its own stands for both.
+    each = staged(chars.select("word_id", "char_idx", "vec").withColumn("query_id", F.monotonically_increasing_id()), "chars")
+    near = nearest(each.select("query_id", "vec"), char_refs).select("query_id", "label")
+    spelled = each.select("word_id", "char_idx", "query_id").join(near, "query_id").groupBy("word_id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("char_idx", "label"))), lambda c: c["label"]).alias("labels"))
     last = end_mark(F.element_at("labels", -1))
     spelled = spelled.select("word_id", last.alias("end_mark"), F.when(last.isNotNull(), F.slice("labels", 1, F.size("labels") - 1)).otherwise(F.col("labels")).alias("char_labels"))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_REFERENCE_ROWS = 200_000
@@ -15,12 +15,23 @@ MAX_REFERENCE_ROWS = 200_000
 def nearest(queries: DataFrame, refs: DataFrame, k: int = 1, normalise: bool = True, max_rows: int = MAX_REFERENCE_ROWS) -> DataFrame:
     """queries (query_id, vec) x refs (ref_id, label, vec) to (query_id, rank, ref_id, label, sim).
 
-    The reference table is a glyph or word index: its size is checked, it is sent to the tasks,
-    and query batches are multiplied with it in blocks.  A larger one must be split by the caller.
+    The reference table is a glyph or word index: it is counted, sent to the tasks, and query
+    batches are multiplied with it in blocks.  A table of more than ``max_rows`` goes in several parts,
+    by hash of ref_id, and the best of all parts count; equal similarities go to the smaller ref_id.
     """
-    rows = refs.select("ref_id", "label", "vec").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} reference vectors")
+    parts = -(-refs.count() // max_rows)
+    if parts <= 1:
+        return _nearest(queries, refs, k, normalise)
+    out = None
+    for at in range(parts):
+        found = _nearest(queries, refs.where(F.pmod(F.xxhash64("ref_id"), F.lit(parts)) == at), k, normalise)
+        out = found if out is None else out.unionByName(found)
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("sim"), "ref_id"))
+    return out.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "ref_id", "label", "sim")
+
+
+def _nearest(queries: DataFrame, refs: DataFrame, k: int, normalise: bool) -> DataFrame:
+    rows = refs.select("ref_id", "label", "vec").collect()  # one part, bounded by the caller
     rows.sort(key=lambda r: r.ref_id)
     schema = "query_id long, rank int, ref_id long, label string, sim double"
     if not rows:

@@ -418,6 +418,8 @@ def test_mined_verdicts_equal_brute_force(spark):
     pick = lambda words, n: "/".join(rng.choice(words.split(), n))
     tops, sites, words = ["com", "org", "net", "example.org"], ["alpha", "beta", "gamma"], "fr de es en shop blog win news"
     urls = [f"http://www.{rng.choice(sites)}.{rng.choice(tops)}/{pick(words, rng.integers(1, 4))}/page-{i % 7}/part-of-site" for i in range(400)]
+    # A site of which only blocked paths are labelled: its other paths are blocked by mined rules.
+    urls += [f"http://www.casino.com/{'de' if i % 2 else 'win'}/{pick(words, rng.integers(1, 3))}/page-{i % 7}" for i in range(60)]
     d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     support, confidence = 0.02, 0.7
     seen = {u: (plain_tokens(*plain_url(u)), plain_rule(*plain_url(u))[1]) for u in urls}

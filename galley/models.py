@@ -11,7 +11,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .operators.knn import nearest, pooled, with_fallback
@@ -73,6 +73,11 @@ class HashEncoder:
         return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def outer_inputs(inputs: Column, initialisers: Column) -> Column:
+    """Names of a model graph's inputs that a caller must feed: those that no initialiser fills."""
+    return F.array_except(inputs, initialisers)
+
+
 def detect(images: DataFrame, make: Callable[[], Detector], key: str = "scan_id", content: str = "content", batch: int = BATCH) -> DataFrame:
     """(key, det, x0, y0, x1, y1, conf, cls, error): a failing batch is tried image by image, and a
     failing image gives one row with its error."""

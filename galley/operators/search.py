@@ -24,6 +24,11 @@ def first_matches(articles: DataFrame, term: str, n: int, order: list[str], text
     return at.where(F.col(text).contains(term))
 
 
+def in_languages(rows: DataFrame, languages: list[str] | None = None, lang: str = "lang") -> DataFrame:
+    """Rows of some languages; without a list the filter is off and all rows pass, also those without a language."""
+    return rows if languages is None else rows.where(F.col(lang).isin(*languages))
+
+
 def cooccurrence(articles: DataFrame, *terms: str, text: str = "article") -> DataFrame:
     return articles.where(any_order(*terms, text=text))
 

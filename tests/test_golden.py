@@ -1,5 +1,7 @@
 """Hand-made cases of the newspaper operators; expected values were derived from their definitions."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,7 +147,16 @@ def test_spelling(spark):
     terms = {"the": 50, "cat": 10, "cart": 3, "house": 5}
     c = spell.SymmetricDelete(terms, 2)
     assert c.lookup("teh") == "the" and c.lookup("cst") == "cat" and c.lookup("zzzzzz") == "zzzzzz"
-    assert spell.correct_text("Teh cst.", c, "full_text") == "The cat." and spell.correct_text("Teh cst", c, "word").endswith("cat")
+    # Compound correction leaves words only; the separators of the other modes stay.
+    assert spell.correct_text("Teh cst.", c, "full_text") == "The cat" and spell.correct_text("teh  cst", c, "word") == "the cat"
+    assert spell.correct_text("Teh cst. thehouse", c, "period") == "The cat.the house" and spell.correct_text("TEH\n\nho use", c, "paragraph") == "THE\n\nhouse"
+    assert spell.correct_text("", c, "full_text") == "" and spell.correct_text("qqqqqqqq 7", c, "full_text") == "qqqqqqqq 7"
+    # A cut in known words; a whole word that is as near wins over it by frequency, unless the pair is known.
+    known = {"is": 8_000_000_000, "land": 900_000_000, "i": 70}
+    assert spell.SymmetricDelete(known, 1).compound("island IsLand") == "is land Is Land"
+    known["sland"] = 10_000_000
+    assert spell.SymmetricDelete(known, 1).compound("island") == "sland"
+    assert spell.SymmetricDelete(known, 1, {"is land": 20_000_000}).compound("island") == "is land"
     v = spell.VisualChecker(terms, {"0": ["o"], "c": ["e"], "1": ["l", "i"]})
     assert v.text("h0use THE 1900 thc") == "house THE 1900 the"
     assert spell.join_broken_words(["a big ho-", "use the", "", "ca", "t x"], terms) == ["a big house", "the", "", "cat", "x"]
@@ -162,6 +173,27 @@ def test_spelling(spark):
     assert g == {"o": ["c", "0"], "0": ["o"], "c": ["o"]}
 
 
+def plain_distance(a, b):
+    d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def test_nearest_terms_are_those_of_a_full_search():
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 11)))
+    terms = {word(): rng.randint(1, 9) for _ in range(400)}
+    for distance in (1, 2):
+        c = spell.SymmetricDelete.of(spell.SymmetricDelete(terms, distance).parts)
+        for w in [word() for _ in range(300)]:
+            best = min((plain_distance(w, t), -n, t) for t, n in terms.items())
+            assert c.nearest(w) == ((best[0], best[2]) if best[0] <= distance else None)
+
+
 def test_evaluation(spark):
     p = spark.createDataFrame([("abc", "abd"), ("xy", "xy"), ("", "")], "gold string, pred string")
     s = evaluate.text_scores(p).first()

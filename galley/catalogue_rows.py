@@ -139,6 +139,16 @@ def unit_vectors(spark, sf_dir):
     return e.select("vec_id", "dim", F.round("x", 6).alias("x"))
 
 
+@query(LAYOUT + """SELECT scan_id, id, CAST(floor(list_aggregate([w, x1, 7, x0, h, y1, x0, y0, w, y1, id, 7], 'median')) AS INTEGER) AS fill,
+  CAST(floor(list_aggregate([0, 0, 0, 0, h, 0, 0, 0, 0, 0, 5, 0], 'median')) AS INTEGER) AS other FROM lay""")
+def border_medians(spark, sf_dir):
+    """Three by three pixels of two channels; the one in the middle is no border."""
+    pixel = lambda a, b=0: F.array(F.lit(a) if isinstance(a, int) else F.col(a).cast("int"), F.lit(b) if isinstance(b, int) else F.col(b).cast("int"))
+    image = F.array(F.array(pixel("x0"), pixel("y0"), pixel("w")), F.array(pixel("h", "h"), pixel(10 ** 9), pixel("x1")), F.array(pixel("y1"), pixel("id", 5), pixel(7)))
+    m = layout(spark, sf_dir).select("scan_id", "id", G.border_median(image, 2).alias("m"))
+    return m.select("scan_id", "id", m["m"][0].alias("fill"), m["m"][1].alias("other"))
+
+
 # Reading order ---------------------------------------------------------------------------------
 def _places(a: str, b: str, size: str, margin: str) -> str:
     """Recursive SQL: the first box left in order of ``a`` takes all boxes left that are near it; groups go by ``b``."""

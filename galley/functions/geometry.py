@@ -219,6 +219,19 @@ def coco_image(name: Column, w: Column, h: Column, image_id: Column) -> Column:
     return F.struct(name.alias("file_name"), h.alias("height"), w.alias("width"), image_id.alias("id"))
 
 
+def border_median(image: Column, channels: int = 3) -> Column:
+    """Per channel the median (cut to a whole number) of the four edges of an image, an array of rows of pixels;
+    corners count twice.  It fills what is padded."""
+    edge = F.concat(F.transform(image, lambda r: F.element_at(r, -1)), F.transform(image, lambda r: r[0]), image[0], F.element_at(image, -1))
+
+    def middle(c: int) -> Column:
+        v = F.array_sort(F.transform(edge, lambda p: p[c]))
+        n = F.size(v)
+        return F.floor((F.get(v, F.floor((n - 1) / 2).cast("int")) + F.get(v, F.floor(n / 2).cast("int"))) / 2).cast("int")
+
+    return F.array(*[middle(c) for c in range(channels)])
+
+
 def yolo_box(percent_x, percent_y, percent_w, percent_h) -> Column:
     """A percent box with its upper left corner to a relative box with its centre."""
     return F.struct(((percent_x + percent_w / 2) / 100).alias("x"), ((percent_y + percent_h / 2) / 100).alias("y"), (percent_w / 100).alias("w"), (percent_h / 100).alias("h"))

@@ -113,10 +113,12 @@ def detect(images: DataFrame, make: Callable[[], Detector], key: str = "scan_id"
 
 
 def encode(crops: DataFrame, make: Callable[[], Encoder], content: str = "content", out: str = "vec", batch: int = BATCH) -> DataFrame:
-    """Adds unit vectors; batches are of a fixed size at most, and a crop that fails gives zeros."""
+    """Adds unit vectors; batches are of a fixed size at most, and a crop that fails gives zeros.  Their width is
+    the model's ``width`` if it has one, else that of the vectors before; null while none is known."""
     @F.pandas_udf("array<double>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = make()
+        width = getattr(model, "width", 0)
         for s in parts:
             rows: list = []
             for at in range(0, len(s), batch):
@@ -129,8 +131,9 @@ def encode(crops: DataFrame, make: Callable[[], Encoder], content: str = "conten
                             rows.append(np.asarray(model([c]), np.float64)[0])
                         except Exception:  # noqa: BLE001
                             rows.append(None)
-            width = next((len(r) for r in rows if r is not None), 0)
-            yield pd.Series([[0.0] * width if r is None else r.tolist() for r in rows])
+            width = next((len(r) for r in rows if r is not None), width)
+            nothing = [0.0] * width if width else None
+            yield pd.Series([nothing if r is None else r.tolist() for r in rows], dtype=object)
 
     return crops.withColumn(out, run(F.col(content)))
 
@@ -178,23 +181,36 @@ def read_pages(images: DataFrame, make: Callable[[], TextReader], content: str =
     return images.withColumn(out, run(F.col(content)))
 
 
-#: Aliases of public sentence encoders by which callers name their embedder.
-EMBEDDERS = ("minilm", "mpnet", "distilroberta", "bert", "roberta", "longformer")
+def embed(texts: DataFrame, make: Callable[[], Embedder], text: str = "text", pooling: str = "mean", out: str = "vec", layer: int = -1, window: int | None = None) -> DataFrame:
+    """Adds one vector per text: mean, max, cls (first token) or cat (mean and max side by side) of its tokens.
 
-
-def embed(texts: DataFrame, make: Callable[[], Embedder], text: str = "text", pooling: str = "mean", out: str = "vec") -> DataFrame:
-    """Adds one vector per text: mean, max, cls (first token) or cat (mean and max side by side)."""
+    An embedder that gives all its layers (layers x tokens x width) is read at ``layer``.  With a window, a text of
+    more blank-separated words goes in pieces of that many words, whose tokens are pooled together: whole texts,
+    however long, at a bounded size per call.  A text without tokens gives an empty vector.
+    """
     def pool(v: np.ndarray) -> list[float]:
         if not len(v):
             return []
         parts = {"mean": [v.mean(0)], "max": [v.max(0)], "cls": [v[0]], "cat": [v.mean(0), v.max(0)]}[pooling]
         return np.concatenate(parts).astype(float).tolist()
 
+    def pieces(t: str) -> list[str]:
+        words = t.split() if window else []
+        return [t] if not window or len(words) <= window else [" ".join(words[i:i + window]) for i in range(0, len(words), window)]
+
     @F.pandas_udf("array<double>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = make()
         for s in parts:
-            yield pd.Series([pool(np.asarray(v)) for v in model(["" if t is None else t for t in s])])
+            cut = [pieces("" if t is None else t) for t in s]
+            flat, found = [p for c in cut for p in c], []
+            for at in range(0, len(flat), BATCH):
+                found += [a[layer] if a.ndim == 3 else a for a in map(np.asarray, model(flat[at:at + BATCH]))]
+            each, rows = iter(found), []
+            for c in cut:
+                own = [a for a in (next(each) for _ in c) if len(a)]
+                rows.append(pool(np.concatenate(own)) if own else [])
+            yield pd.Series(rows, dtype=object)
 
     return texts.withColumn(out, run(F.col(text)))
 

@@ -52,7 +52,8 @@ def _nearest(queries: DataFrame, refs: DataFrame, k: int, normalise: bool) -> Da
         for part in parts:
             for at in range(0, len(part), step):
                 p = part.iloc[at:at + step]
-                sim = unit(np.stack(p["vec"].to_numpy()).astype(np.float64)) @ table.T
+                nothing = np.zeros(table.shape[1])  # a null or empty vector is as near to all
+                sim = unit(np.stack([nothing if v is None or not len(v) else v for v in p["vec"]]).astype(np.float64)) @ table.T
                 order = np.argsort(-sim, axis=1, kind="stable")[:, :top] if top > 1 else sim.argmax(1)[:, None]
                 n = len(p)
                 yield pd.DataFrame({

@@ -85,40 +85,80 @@ def associate_scans(scans: DataFrame) -> DataFrame:
     return articles.scan_documents(filled, ordered, full)
 
 
+def spell_checked(scans: DataFrame, dictionary: DataFrame, bigrams: DataFrame | None = None) -> DataFrame:
+    """The scan documents (file, bboxes, ...) with the four corrected texts in every box."""
+    from ..functions.spell import SEPARATORS, with_spell_checks
+
+    each = scans.select("file", F.posexplode("bboxes").alias("pos", "b")).withColumn("raw_text", F.coalesce("b.raw_text", F.lit("")))
+    box = F.col("b")
+    for mode in SEPARATORS:
+        box = box.withField(f"spell_check_{mode}", F.col(f"spell_check_{mode}"))
+    checked = with_spell_checks(each, dictionary, bigrams=bigrams).select("file", "pos", box.alias("b"))
+    lists = checked.groupBy("file").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "b"))), lambda x: x["b"]).alias("__boxes"))
+    return scans.join(lists, "file", "left").withColumn("bboxes", F.coalesce("__boxes", F.array())).drop("__boxes")
+
+
+def box_documents(scans: DataFrame) -> DataFrame:
+    """(name, value): a COCO document per scan, named after its file."""
+    from ..schemas import LAYOUT_CLASSES
+    from ..sources.sinks import coco_document
+
+    images = scans.select(F.col("file").alias("file_name"), F.col("scan.width").alias("width"), F.col("scan.height").alias("height"))
+    boxes = scans.select(F.col("file").alias("file_name"), F.posexplode("bboxes").alias("pos", "b")).select("file_name", "pos", "b.class", "b.bbox.*")
+    return coco_document(images, boxes, list(LAYOUT_CLASSES), F.col("file_name")).select(F.concat(F.lit("inference_coco_"), "g").alias("name"), "value")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="Scan documents to full articles.")
     p.add_argument("--input", required=True, help="folder of scan documents")
-    p.add_argument("--output_save_path", required=True)
-    p.add_argument("--manifest_path", default="manifest_0.txt")
-    p.add_argument("--first_n", type=int)
-    p.add_argument("--localizer_iou_thresh", type=float, default=0.10)
-    p.add_argument("--localizer_conf_thresh", type=float, default=0.15)
-    p.add_argument("--recognizer_word_thresh", type=float, default=WORD_SIMILARITY)
-    p.add_argument("--layout-line-only", action="store_true")
-    p.add_argument("--legibility-classifier", action="store_true")
-    p.add_argument("--word-level", dest="word_level", action="store_true")
-    p.add_argument("--spell_check", action="store_true")
-    p.add_argument("--bbox_output", action="store_true")
-    p.add_argument("--ad_hoc_textlines", action="store_true")
-    p.add_argument("--punc_padding", type=int, default=0)
-    for name in ("layout", "line", "localizer"):
-        p.add_argument(f"--{name}_model_backend", default="yolo")
+    p.add_argument("--output_save_path", required=True, help="articles by year; _errors and _coco beside them")
+    p.add_argument("--manifest_path", help="only the scans of these image paths or addresses")
+    p.add_argument("--first_n", type=int, help="the first files by name")
+    p.add_argument("--spell_check", action="store_true", help="adds corrected texts; needs --dictionary")
+    p.add_argument("--dictionary", help="lines of a term and its count")
+    p.add_argument("--bigrams", help="lines of two words and their count")
+    p.add_argument("--bbox_output", action="store_true", help="also writes a COCO file per scan")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
     from pyspark.sql import SparkSession
 
-    from ..sources.sinks import write_by_year
-    from ..sources.tables import json_scans
-
-    a = parser().parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    scans = json_scans(spark, a.input).withColumn("scan_id", F.regexp_replace("file", r"\.json$", ""))
-    out = associate_scans(scans.drop("_corrupt_record"))
-    write_by_year(out.withColumn("year", F.substring("edition.date", 1, 4).try_cast("int")), a.output_save_path)
+    run(spark, parser().parse_args(argv))
     spark.stop()
 
 
+def run(spark, a: argparse.Namespace) -> None:
+    """What the command line does.  A file that does not parse becomes a row of the errors."""
+    from ..functions import spell
+    from ..functions.text import output_name
+    from ..operators.staging import staged
+    from ..operators.windows import first_n
+    from ..sources.sinks import write_by_year, write_errors, write_files
+    from ..sources.tables import CORRUPT, json_scans, manifest
+
+    if a.spell_check and not a.dictionary:
+        raise ValueError("--spell_check needs --dictionary")
+    read = json_scans(spark, a.input)
+    if a.manifest_path:
+        path = F.col("path")
+        names = manifest(spark, a.manifest_path).select(F.when(path.rlike("^https?://"), output_name(path, True)).otherwise(output_name(path, False)).alias("file"))
+        read = read.join(names.distinct(), "file", "left_semi")
+    if a.first_n is not None:
+        read = read.join(first_n(read.select("file"), ["file"], a.first_n), "file", "left_semi")
+    read = staged(read, "scans")
+    broken = read.where(F.col(CORRUPT).isNotNull()).select(F.col("file").alias("filename"), F.lit("read").alias("stage"), F.lit("not a scan document").alias("error"))
+    scans = read.where(F.col(CORRUPT).isNull()).drop(CORRUPT).withColumn("scan_id", F.regexp_replace("file", r"\.json$", ""))
+    out = associate_scans(scans)
+    if a.spell_check:
+        bigrams = spell.read_bigrams(spark, a.bigrams) if a.bigrams else None
+        out = spell_checked(staged(out, "articles"), spell.read_frequencies(spark, a.dictionary), bigrams)
+    write_by_year(out.withColumn("year", F.substring("edition.date", 1, 4).try_cast("int")), a.output_save_path)
+    write_errors(broken, f"{a.output_save_path}/_errors")
+    if a.bbox_output:
+        write_files(box_documents(scans), f"{a.output_save_path}/_coco", exist_ok=True)
+
+
 if __name__ == "__main__":
     main()

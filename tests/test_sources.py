@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,80 @@ def test_streaming(spark, tmp_path):
     assert sum(seen) == 1
 
 
-def test_command_line():
-    a = pipelines.parser().parse_args(["--input", "i", "--output_save_path", "o"])
-    assert a.localizer_iou_thresh == 0.10 and a.localizer_conf_thresh == 0.15 and a.recognizer_word_thresh == 0.86
+def test_encoders_that_fail_or_are_long(spark):
+    class Broken:
+        width = 3
+
+        def __call__(self, crops):
+            raise ValueError("broken")
+
+    rows = spark.createDataFrame([(1, "a b c d e"), (2, ""), (3, None)], "ref_id long, text string")
+    failed = models.encode(rows.withColumn("content", F.lit(b"x")), Broken).select("ref_id", "vec")
+    assert {tuple(r.vec) for r in failed.collect()} == {(0.0, 0.0, 0.0)}
+    refs = spark.createDataFrame([(5, "x", [1.0, 0.0, 0.0])], "ref_id long, label string, vec array<double>")
+    some = failed.select(F.col("ref_id").alias("query_id"), F.when(F.col("ref_id") == 1, F.col("vec")).alias("vec"))  # null vectors too
+    assert {(r.ref_id, r.sim) for r in models.nearest(some, refs).collect()} == {(5, 0.0)}
+
+    class Layers:
+        """Two layers: the number of a token, then ten times that."""
+
+        def __call__(self, texts):
+            assert all(len(t.split()) <= 2 for t in texts)
+            each = [np.array([[float(ord(w))] for w in t.split()]).reshape(-1, 1) for t in texts]
+            return [np.stack([v, 10 * v]) for v in each]
+
+    def got(**how):
+        return {r.ref_id: r.vec for r in models.embed(rows, Layers, window=2, **how).collect()}
+
+    assert got(layer=0) == {1: [99.0], 2: [], 3: []} and got()[1] == [990.0]
+    assert got(layer=0, pooling="max")[1] == [101.0] and got(layer=0, pooling="cat")[1] == [99.0, 101.0] and got(layer=0, pooling="cls")[1] == [97.0]
+
+
+def test_a_file_per_scan(spark, tmp_path):
+    d = spark.createDataFrame([("in/a.jp2", "x"), ("in/b.pdf", "é")], "path string, scan_ocr string")
+    out = tmp_path / "scans"
+    sinks.write_scan_json(d, "path", False, str(out))
+    assert {p.name: json.loads(p.read_text()) for p in out.glob("*.json")} == {"a.json": {"scan_ocr": "x"}, "b.json": {"scan_ocr": "é"}} and (out / "_SUCCESS").exists()
+    with pytest.raises(FileExistsError):
+        sinks.write_scan_json(d, "path", False, str(out))
+    with pytest.raises(ValueError, match="a.json"):
+        sinks.write_scan_json(d.union(d.where("path = 'in/a.jp2'")), "path", False, str(tmp_path / "other"))
+
+
+def test_linked_coco_levels(spark):
+    box = "x0 int, y0 int, x1 int, y1 int"
+    images = spark.createDataFrame([("b.jpg", 100, 200), ("a.jpg", 100, 200)], "file_name string, width int, height int")
+    boxes = spark.createDataFrame([("b.jpg", 0, "article", 0, 0, 50, 80), ("a.jpg", 1, "article", 10, 10, 40, 60), ("a.jpg", 0, "headline", 0, 0, 9, 9)], f"file_name string, pos int, class string, {box}")
+    lines = spark.createDataFrame([("b.jpg", 0, 0, 0, 0, 50, 12), ("a.jpg", 1, 0, 1, 30, 29, 44), ("a.jpg", 1, 1, 2, 5, 28, 20)], f"file_name string, pos int, line_idx int, {box}")
+    marks = spark.createDataFrame([("a.jpg", 1, 0, 0, "word", 0, 0, 9, 9), ("a.jpg", 1, 0, 0, "char", 0, 0, 4, 9), ("b.jpg", 0, 0, 0, "char", 1, 1, 4, 9)], f"file_name string, pos int, line_idx int, mark_idx int, class string, {box}")
+    layout, line, char = (json.loads(d.first().value) for d in sinks.coco_levels(images, boxes, lines, marks, ["article", "headline"]))
+    ids = lambda d, *keys: [tuple(x[k] for k in keys) for x in d["annotations"]]
+    size = lambda d: [(i["id"], i["file_name"], i["width"], i["height"]) for i in d["images"]]
+    assert ids(layout, "id", "image_id", "category_id") == [(0, 0, 1), (1, 0, 0), (2, 1, 0)]
+    assert size(line) == [(0, "0.png", 9, 9), (1, "1.png", 30, 50), (2, "2.png", 50, 80)]
+    assert ids(line, "id", "image_id") == [(0, 1), (1, 1), (2, 2)] and line["annotations"][0]["bbox"] == [2, 5, 26, 15]
+    assert size(char) == [(0, "0.png", 30, 15), (1, "1.png", 30, 14), (2, "2.png", 50, 12)]
+    assert ids(char, "id", "image_id", "category_id") == [(0, 1, 0), (1, 1, 1), (2, 2, 0)]
+
+
+def test_command_line(spark, tmp_path):
+    for name in ("a_1900010201_p1", "b_1901010201_p1", "c_1902010201_p1"):
+        write(tmp_path / f"in/{name}.json", json.dumps({**SCAN, "bboxes": [{**b, "raw_text": "teh house"} for b in SCAN["bboxes"]]}))
+    write(tmp_path / "in/aa_broken.json", "no document")
+    words = write(tmp_path / "words.txt", "the 50\nhouse 5\n")
+    wanted = write(tmp_path / "m.txt", "x/a_1900010201_p1.jp2\nx/b_1901010201_p1.jp2\nx/aa_broken.jp2\n")
+    out = tmp_path / "out"
+    args = ["--input", str(tmp_path / "in"), "--output_save_path", str(out), "--manifest_path", wanted, "--spell_check", "--dictionary", words, "--bbox_output"]
+    for _ in range(2):  # run again, it writes no article twice
+        pipelines.run(spark, pipelines.parser().parse_args(args))
+    done = spark.read.parquet(str(out)).orderBy("file").collect()
+    assert [r.year for r in done] == [1900, 1901]
+    assert {(b.spell_check_full_text, b.spell_check_word) for r in done for b in r.bboxes} == {("the house", "the house")}
+    errors = spark.read.option("header", "true").csv(str(out / "_errors"))
+    assert {tuple(r) for r in errors.collect()} == {("aa_broken.json", "read", "not a scan document")}
+    assert {p.name for p in (out / "_coco").glob("inference*")} == {"inference_coco_a_1900010201_p1.json", "inference_coco_b_1901010201_p1.json"}
+    first = pipelines.parser().parse_args(["--input", str(tmp_path / "in"), "--output_save_path", str(tmp_path / "one"), "--first_n", "1"])
+    pipelines.run(spark, first)
+    assert [r.file for r in spark.read.parquet(str(tmp_path / "one")).collect()] == ["a_1900010201_p1.json"]
+    with pytest.raises(ValueError):
+        pipelines.run(spark, pipelines.parser().parse_args(["--input", "i", "--output_save_path", "o", "--spell_check"]))

@@ -603,7 +603,8 @@ def alto_text(spark, sf_dir):
 def spelling(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     known = spell.word_frequencies(d).where("freq >= 40")
-    return spell.with_spell_checks(d.select("doc_id", F.col("text").alias("raw_text")), known, distance=1).drop("raw_text")
+    texts = d.select("doc_id", F.col("text").alias("raw_text")).repartition(spark.sparkContext.defaultParallelism)  # much work per row, one file
+    return spell.with_spell_checks(texts, known, distance=1).drop("raw_text")
 
 
 @query()

@@ -103,8 +103,9 @@ def segment_boxes(spark, sf_dir):
   unnest([y0, (y0 + y1) / 2.0, y1, (y0 + y1) / 2.0, y0])::DOUBLE AS y FROM lay""")
 def segments_resampled(spark, sf_dir):
     """A segment of two points is closed by its first, so five points halve both ways."""
-    s = layout(spark, sf_dir).select("scan_id", "id", F.posexplode(G.resample_segment(_corners("x0 y0", "x1 y1"), 5)).alias("at", "p"))
-    return s.select("scan_id", "id", "at", "p.x", "p.y")
+    s = layout(spark, sf_dir).select("scan_id", "id", _corners("x0 y0", "x1 y1").alias("s"))
+    at = s.select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("at"))  # a row per point: its arithmetic is compiled, a lambda's is not
+    return at.select("scan_id", "id", "at", G.segment_point(F.col("s"), F.col("at"), 5).alias("p")).select("scan_id", "id", "at", "p.x", "p.y")
 
 
 @query(LAYOUT + "SELECT scan_id, id, round(x0 + w / 10.0::DOUBLE, 6) AS x0, round(y0 + h / 10.0::DOUBLE, 6) AS y0, round(x1 - w / 10.0::DOUBLE, 6) AS x1, round(y1 - h / 10.0::DOUBLE, 6) AS y1 FROM lay")

@@ -16,6 +16,11 @@ COCO80_TO_91 = (
     82, 84, 85, 86, 87, 88, 89, 90)
 
 
+def bound(value: Column, f) -> Column:
+    """``f`` of a value that is evaluated once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def box(x0="x0", y0="y0", x1="x1", y1="y1") -> dict[str, Column]:
     return {k: F.col(v) if isinstance(v, str) else v for k, v in (("x0", x0), ("y0", y0), ("x1", x1), ("y1", y1))}
 
@@ -180,19 +185,19 @@ def segment_to_box(points: Column, w: Column, h: Column) -> Column:
     return F.when(F.size(inside) > 0, make(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)))
 
 
+def segment_point(points: Column, i: Column, n: int = 1000) -> Column:
+    """Point ``i`` (from 0) of ``n`` at even steps along the closed segment's point index, interpolated."""
+    last = F.size(points)  # of the closed segment, whose last point is the first
+    step = i.cast("double") * last / F.lit(max(n - 1, 1))
+    lo = F.least(F.floor(step).cast("int"), last - 1)
+    a, b = F.get(points, lo), F.get(points, F.when(lo + 1 < last, lo + 1).otherwise(0))
+    return F.struct(*[(a[c] + (b[c] - a[c]) * (step - lo)).alias(c) for c in "xy"])
+
+
 def resample_segment(points: Column, n: int = 1000) -> Column:
-    """``n`` points at even steps along the closed segment's point index, interpolated."""
-    closed = F.concat(points, F.slice(points, 1, 1))
-    last = F.size(closed) - 1
-    step = lambda i: i.cast("double") * last / F.lit(max(n - 1, 1))
-
-    def at(i):
-        lo = F.least(F.floor(step(i)).cast("int"), last - 1)
-        t = step(i) - lo
-        a, b = F.get(closed, lo), F.get(closed, lo + 1)
-        return F.struct((a["x"] + (b["x"] - a["x"]) * t).alias("x"), (a["y"] + (b["y"] - a["y"]) * t).alias("y"))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)
+    """``n`` points at even steps along the closed segment's point index, as an array.  The points are bound once:
+    a lambda evaluates anew, for every element, what it names."""
+    return bound(points, lambda p: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: segment_point(p, i, n)))
 
 
 def mask_box(points: Column) -> Column:

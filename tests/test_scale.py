@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from galley.functions import geometry as G
+from galley.functions import spell
 
 
 def plan(df) -> str:
@@ -19,3 +20,22 @@ def test_a_segment_is_evaluated_once_for_all_its_points(spark):
     assert got[2] == got[3] == [(None, None)] * 7
     at = d.where("id = 0").select("s", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("i")).select("i", G.segment_point(F.col("s"), F.col("i"), 7).alias("p"))
     assert [tuple(r.p) for r in at.orderBy("i").collect()] == [(0, 0), (2, 0), (4, 0), (4, 2), (4, 4), (2, 2), (0, 0)]
+
+
+def test_terms_that_begin_alike_are_no_candidates_at_distance_one(monkeypatch):
+    calls = []
+    plain = spell.edit_distance
+    monkeypatch.setattr(spell, "edit_distance", lambda *a: calls.append(a) or plain(*a))
+    terms = {f"abcdefg{i:04d}": 50 for i in range(500)}
+    c = spell.SymmetricDelete(terms, 1)
+    assert c.nearest("abcdefghijklm") is None and len(calls) == 0
+    assert c.nearest("abcdefg001x7") == (1, "abcdefg0017") and len(calls) < 5
+
+
+def test_cuts_of_a_corrected_word_take_no_searches(monkeypatch):
+    c = spell.SymmetricDelete({"there": 50, "the": 90, "land": 70}, 1)
+    found = []
+    plain = c._search
+    monkeypatch.setattr(c, "_search", lambda w: found.append(w) or plain(w))
+    assert c.compound("thare") == "there" and found == ["thare"]
+    assert c.compound("theland thexland") == "the land the land"  # the blank is put in, or takes a letter's place

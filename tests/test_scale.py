@@ -39,3 +39,12 @@ def test_cuts_of_a_corrected_word_take_no_searches(monkeypatch):
     monkeypatch.setattr(c, "_search", lambda w: found.append(w) or plain(w))
     assert c.compound("thare") == "there" and found == ["thare"]
     assert c.compound("theland thexland") == "the land the land"  # the blank is put in, or takes a letter's place
+
+
+def test_visual_check_makes_substitutes_only_where_one_can_be_chosen(monkeypatch):
+    v = spell.VisualChecker({"soles": 50}, {"o": ["0"], "0": ["o"], "l": ["1"], "1": ["l"], "s": ["5"], "5": ["s"], "e": ["c"], "c": ["e"]})
+    asked = []
+    plain = v._reaches
+    monkeypatch.setattr(v, "_reaches", lambda w: asked.append((w, plain(w))) or asked[-1][1])
+    assert v.text("50lc5 s0ll0ss0ll0ss0l x0x l0 50lc5") == "soles sollossollossol xox 10 soles"
+    assert asked == [("50lc5", True), ("s0ll0ss0ll0ss0l", False), ("x0x", False), ("l0", True)]  # each token once

@@ -48,3 +48,12 @@ def test_visual_check_makes_substitutes_only_where_one_can_be_chosen(monkeypatch
     monkeypatch.setattr(v, "_reaches", lambda w: asked.append((w, plain(w))) or asked[-1][1])
     assert v.text("50lc5 s0ll0ss0ll0ss0l x0x l0 50lc5") == "soles sollossollossol xox 10 soles"
     assert asked == [("50lc5", True), ("s0ll0ss0ll0ss0l", False), ("x0x", False), ("l0", True)]  # each token once
+
+
+def test_postprocessing_corrects_a_word_once_and_keeps_its_lines(spark, monkeypatch):
+    terms = {f"abcdefg{i:04d}": 50 for i in range(300)} | {"the": 90}
+    c = spell.SymmetricDelete(terms, 1)
+    asked = []
+    monkeypatch.setattr(c, "lookup", lambda w: asked.append(w) or spell.SymmetricDelete.lookup(c, w))
+    assert spell.postprocess_text("Thx abcdefg0x07 thx\nthx", c, {}) == "The abcdefg0007 the\nthe"
+    assert sorted(asked) == ["abcdefg0x07", "thx", "thx"]  # Thx, thx and the long word, each as written

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +26,28 @@ def greedy_nms(boxes: np.ndarray, conf: np.ndarray, limit: float) -> list[int]:
     return kept
 
 
+def greedy_ranks(boxes: np.ndarray, starts: np.ndarray, limit: float, max_det: int) -> np.ndarray:
+    """The place at which each box is kept, -1 for none.  Page p has rows starts[p] to starts[p + 1], best first; each
+    step keeps the best box left of every page at once, so the steps are those of the page with most boxes kept."""
+    x0, y0, x1, y1 = boxes.T
+    area = (x1 - x0) * (y1 - y0)
+    page = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    rank = np.full(len(boxes), -1, np.int32)
+    left = np.arange(len(boxes))
+    for step in range(max_det):
+        if not len(left):
+            break
+        own = page[left]
+        first = np.concatenate([[True], own[1:] != own[:-1]])
+        rank[left[first]] = step
+        i, rest = left[first][np.cumsum(first) - 1][~first], left[~first]
+        w = np.clip(np.minimum(x1[i], x1[rest]) - np.maximum(x0[i], x0[rest]), 0, None)
+        h = np.clip(np.minimum(y1[i], y1[rest]) - np.maximum(y0[i], y0[rest]), 0, None)
+        both = w * h
+        left = rest[both <= limit * (area[i] + area[rest] - both + 1e-7)]
+    return rank
+
+
 def suppress(detections: DataFrame, keys: list[str], iou: float, conf: float = 0.0, max_det: int = 300, agnostic: bool = True, classes=None) -> DataFrame:
     """Detections (keys, det, x0..y1, conf, cls) that stay, with their rank by score.  Scores must
     be above ``conf``; classes suppress each other only if ``agnostic``."""
@@ -35,20 +57,20 @@ def suppress(detections: DataFrame, keys: list[str], iou: float, conf: float = 0
     box = F.struct((-F.col("conf")).alias("c"), "det", "x0", "y0", "x1", "y1", "conf", "cls")
     g = d.groupBy(*keys).agg(F.slice(F.sort_array(F.collect_list(box)), 1, NMS_ROWS).alias("g"))
 
-    @F.pandas_udf("array<int>")
-    def kept(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series, conf: pd.Series, cls: pd.Series) -> pd.Series:
-        out = []
-        for a, b, c, e, score, k in zip(x0, y0, x1, y1, conf, cls):
-            boxes = np.stack([a, b, c, e], 1).astype(np.float64)
-            if not agnostic:
-                boxes = boxes + np.asarray(k, np.float64)[:, None] * NMS_CLASS_OFFSET
-            out.append(greedy_nms(boxes, np.asarray(score, np.float64), iou)[:max_det])
-        return pd.Series(out)
-
-    # One row per image with its detections as arrays, so that an Arrow batch has many images.
-    g = g.withColumn("k", kept(*[F.col(f"g.{c}") for c in ("x0", "y0", "x1", "y1", "conf", "cls")]))
-    best = g.select(*keys, "g", F.posexplode("k").alias("rank", "i")).select(*keys, "rank", F.get("g", F.col("i")).alias("b"))
-    return best.select(*keys, *[F.col(f"b.{c}").alias(c) for c in ("det", "x0", "y0", "x1", "y1", "conf", "cls")], "rank")
+    @F.arrow_udf("array<int>")
+    def ranks(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array, cls: pa.Array) -> pa.Array:
+        starts = x0.offsets.to_numpy() - x0.offsets[0].as_py()
+        flat = lambda a: a.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        boxes = np.stack([flat(a) for a in (x0, y0, x1, y1)], 1)
+        if not agnostic:
+            boxes += flat(cls)[:, None] * NMS_CLASS_OFFSET
+        rank = greedy_ranks(boxes, starts, iou, max_det)
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(rank, pa.int32(), mask=rank < 0))
+
+    # One row per image with its detections as arrays, best first, so that an Arrow batch has many images.
+    g = g.withColumn("r", ranks(*[F.col(f"g.{c}") for c in ("x0", "y0", "x1", "y1", "cls")]))
+    each = g.select(*keys, F.explode(F.arrays_zip("g", "r")).alias("z")).where("z.r IS NOT NULL")
+    return each.select(*keys, *[F.col(f"z.g.{c}").alias(c) for c in ("det", "x0", "y0", "x1", "y1", "conf", "cls")], F.col("z.r").alias("rank"))
 
 
 def best_class(scores: DataFrame, with_objectness: bool, conf: float) -> DataFrame:

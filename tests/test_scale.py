@@ -1,9 +1,11 @@
 """What keeps the work per row bounded: nothing is evaluated twice, nothing is shuffled twice."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from galley.functions import geometry as G
 from galley.functions import spell
+from galley.operators import nms
 
 
 def plan(df) -> str:
@@ -46,8 +48,8 @@ def test_visual_check_makes_substitutes_only_where_one_can_be_chosen(monkeypatch
     asked = []
     plain = v._reaches
     monkeypatch.setattr(v, "_reaches", lambda w: asked.append((w, plain(w))) or asked[-1][1])
-    assert v.text("50lc5 s0ll0ss0ll0ss0l x0x l0 50lc5") == "soles sollossollossol xox 10 soles"
-    assert asked == [("50lc5", True), ("s0ll0ss0ll0ss0l", False), ("x0x", False), ("l0", True)]  # each token once
+    assert v.text("50lc5 s0ll0ss0ll0ss0lm x0x l0 50lc5") == "soles sollossollossolm xox 10 soles"
+    assert asked == [("50lc5", True), ("s0ll0ss0ll0ss0lm", False), ("x0x", False), ("l0", True)]  # each token once
 
 
 def test_postprocessing_corrects_a_word_once_and_keeps_its_lines(spark, monkeypatch):
@@ -57,3 +59,17 @@ def test_postprocessing_corrects_a_word_once_and_keeps_its_lines(spark, monkeypa
     monkeypatch.setattr(c, "lookup", lambda w: asked.append(w) or spell.SymmetricDelete.lookup(c, w))
     assert spell.postprocess_text("Thx abcdefg0x07 thx\nthx", c, {}) == "The abcdefg0007 the\nthe"
     assert sorted(asked) == ["abcdefg0x07", "thx", "thx"]  # Thx, thx and the long word, each as written
+
+
+def test_pages_are_suppressed_together_as_each_alone():
+    rng = np.random.default_rng(5)
+    counts = [0, 1, 40, 3, 0, 17]
+    boxes = rng.integers(0, 60, (sum(counts), 4)).astype(float)
+    boxes[:, 2:] = boxes[:, :2] + rng.integers(0, 50, (sum(counts), 2))
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    for limit in (0.1, 0.45):
+        for most in (2, 100):
+            rank = nms.greedy_ranks(boxes, starts, limit, most)
+            for a, b in zip(starts, starts[1:]):
+                alone = nms.greedy_nms(boxes[a:b], -np.arange(b - a, dtype=float), limit)[:most]
+                assert [i for _, i in sorted((r, i) for i, r in enumerate(rank[a:b]) if r >= 0)] == alone

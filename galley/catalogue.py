@@ -52,10 +52,11 @@ pg AS (SELECT *, max(x1) OVER (PARTITION BY scan_id) AS page_w, max(y1) OVER (PA
 
 
 def layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+    # By the page's own name, so that what is done by page next finds the rows where this window has put them.
+    order = Window.partitionBy("scan_id").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     flag = F.when(F.col("l_returnflag") == "A", "article").when(F.col("l_returnflag") == "N", "headline").otherwise("author")
-    b = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("scan_id"), (F.row_number().over(order) - 1).cast("int").alias("id"), flag.alias("class"),
+    b = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "scan_id").select(
+        "scan_id", (F.row_number().over(order) - 1).cast("int").alias("id"), flag.alias("class"),
         F.expr("CAST((l_partkey * 37) % 800 AS INT)").alias("x0"), F.expr("CAST((l_suppkey * 53 + l_linenumber * 97) % 1000 AS INT)").alias("y0"),
         F.expr("CAST(100 + l_quantity * 4 AS INT)").alias("w"), F.expr("CAST(30 + l_quantity * 3 AS INT)").alias("h"),
         F.expr("CAST(round(l_discount * 1000) AS INT) + CAST(l_quantity AS INT)").alias("conf"))
@@ -214,8 +215,8 @@ def _with_text(boxes: DataFrame) -> DataFrame:
 def full_article(spark, sf_dir):
     own = association.article_ids(pages(spark, sf_dir)).where("full_article_id IS NOT NULL")
     # Every article is its own here, so no group has several article boxes and 0 is their place.
-    lead = reading_order.lead_order(own, ("scan_id", "full_article_id"))
-    ordered = own.join(lead, ["scan_id", "full_article_id", "id"], "left").withColumn("reading_order_id", F.coalesce("reading_order_id", F.lit(0)))
+    lead = reading_order.with_lead_order(own, ("scan_id", "full_article_id"))
+    ordered = lead.withColumn("reading_order_id", F.coalesce("reading_order_id", F.lit(0)))
     a = articles.assemble(_with_text(ordered))
     return a.select("scan_id", "full_article_id", F.array_join(F.transform("object_ids", lambda i: i.cast("string")), ",").alias("ids"), "headline", "article", "byline",
                     *[F.col("bbox")[i].alias(n) for i, n in enumerate(("bx0", "by0", "bx1", "by1"))], "id")

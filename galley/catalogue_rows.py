@@ -175,8 +175,7 @@ ORACLE["reading_order_rows"] = _places("y0", "x0", "h", "0.10")
   FROM (SELECT *, class || '-' || id || repeat(' x', w % 25) AS t FROM o) GROUP BY scan_id, fa HAVING max(w % 25 + 1) FILTER (WHERE class = 'article') > 10""")
 def legible_articles(spark, sf_dir):
     own = association.article_ids(pages(spark, sf_dir)).where("full_article_id IS NOT NULL")
-    lead = reading_order.lead_order(own, ("scan_id", "full_article_id"))
-    o = own.join(lead, ["scan_id", "full_article_id", "id"], "left").withColumns({
+    o = reading_order.with_lead_order(own, ("scan_id", "full_article_id")).withColumns({
         "reading_order_id": F.coalesce("reading_order_id", F.lit(0)), "legibility": F.when(F.col("id") % 2 == 0, "Legible"), "image_path": F.concat(F.lit("scan-"), "scan_id"),
         "raw_text": F.concat("class", F.lit("-"), "id", F.repeat(F.lit(" x"), F.col("w") % 25))})
     a = articles.assemble_with_legibility(o)

@@ -32,8 +32,8 @@ def assemble_with_legibility(boxes: DataFrame, page: str = "scan_id", min_tokens
     """The variant with one image per article (checked), a legibility per object, texts that end in
     a blank, and a least number of tokens."""
     part = F.struct("reading_order_id", "id", "class", F.coalesce("raw_text", F.lit("")).alias("raw_text"), F.coalesce("legibility", F.lit("NA")).alias("legibility"), "image_path", F.array("x0", "y0", "x1", "y1").alias("box"))
-    g = boxes.groupBy(page, "full_article_id").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.count_distinct("image_path").alias("images"), *union())
-    g = g.where(F.when(F.col("images") <= 1, F.lit(True)).otherwise(F.raise_error("an article has parts on several images").cast("boolean")))
+    g = boxes.groupBy(page, "full_article_id").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.min("image_path").alias("least"), F.max("image_path").alias("most"), *union())
+    g = g.where(F.when(F.coalesce(F.col("least") == F.col("most"), F.lit(True)), F.lit(True)).otherwise(F.raise_error("an article has parts on several images").cast("boolean")))
 
     def text(cls: str) -> Column:
         return F.array_join(F.transform(F.filter("parts", lambda p: p["class"] == cls), lambda p: F.concat(p["raw_text"], F.lit(" "))), "")

@@ -19,33 +19,35 @@ def with_page_extent(boxes: DataFrame, page: str = "scan_id") -> DataFrame:
     return boxes.withColumn("page_w", F.max("x1").over(w)).withColumn("page_h", F.max("y1").over(w))
 
 
-def _above(parts: DataFrame, articles: DataFrame, page: str, max_gap: bool) -> DataFrame:
-    """Candidates (part, article): integer products instead of quotients, all strict."""
-    a = articles.select(F.col(page).alias("a_page"), F.col("id").alias("a_id"), F.col("pos").alias("a_pos"), F.col("x0").alias("a_x0"), F.col("x1").alias("a_x1"), F.col("y0").alias("a_y0"))
-    shared = F.least("x1", "a_x1") - F.greatest("x0", "a_x0")
-    fits = (F.col(page) == F.col("a_page")) & (shared * OVERLAP_SHARE > F.col("page_w")) & ((F.col("y1") - F.col("a_y0")) * SLACK_SHARE < F.col("page_h"))
-    if max_gap:
-        fits &= (F.col("a_y0") - F.col("y1")) * GAP_SHARE < F.col("page_h")
-    return parts.join(a, fits)
+def _owner(boxes: DataFrame, page: str, max_gap) -> DataFrame:
+    """Adds full_article_id: the topmost article of the page that the box stands over (integer products instead of
+    quotients, all strict).  A page's articles come as one array of a window, so boxes are shuffled by page only,
+    once, and not at all if they lie by page already."""
+    pos = "pos" if "pos" in boxes.columns else "id"
+    article = F.struct(F.col("y0").alias("y0"), F.col(pos).alias("pos"), F.col("id").alias("id"), F.col("x0").alias("x0"), F.col("x1").alias("x1"))
+    every = F.collect_list(F.when(F.col("class") == "article", article)).over(Window.partitionBy(page))
+
+    def fits(a):
+        shared = F.least(F.col("x1"), a["x1"]) - F.greatest(F.col("x0"), a["x0"])
+        over = (shared * OVERLAP_SHARE > F.col("page_w")) & ((F.col("y1") - a["y0"]) * SLACK_SHARE < F.col("page_h"))
+        return over & (~max_gap | ((a["y0"] - F.col("y1")) * GAP_SHARE < F.col("page_h")))
+
+    first = F.array_min(F.filter("__articles", fits))
+    return boxes.withColumn("__articles", every).withColumn("full_article_id", F.when(F.col(page).isNotNull(), first["id"] + 1)).drop("__articles")
 
 
 def associate(boxes: DataFrame, cls: str, page: str = "scan_id", max_gap: bool | None = None) -> DataFrame:
     """(page, id, full_article_id) for every box of class ``cls``: the topmost article that it
     stands over, null for none.  Headlines have a largest gap, bylines none."""
-    if "pos" not in boxes.columns:
-        boxes = boxes.withColumn("pos", F.col("id"))
-    parts, articles = boxes.where(F.col("class") == cls), boxes.where(F.col("class") == "article")
-    found = _above(parts, articles, page, cls == "headline" if max_gap is None else max_gap)
-    best = found.groupBy(page, "id").agg((F.min_by("a_id", F.struct("a_y0", "a_pos")) + 1).alias("full_article_id"))
-    return parts.select(page, "id").join(best, [page, "id"], "left")
+    owned = _owner(boxes, page, F.lit(cls == "headline" if max_gap is None else max_gap))
+    return owned.where(F.col("class") == cls).select(page, "id", "full_article_id")
 
 
 def article_ids(boxes: DataFrame, page: str = "scan_id") -> DataFrame:
     """All articles, headlines and bylines with full_article_id; an article is its own (id + 1)."""
-    own = boxes.where(F.col("class") == "article").withColumn("full_article_id", F.col("id") + 1)
-    for cls in ("headline", "author"):
-        own = own.unionByName(boxes.where(F.col("class") == cls).join(associate(boxes, cls, page), [page, "id"]))
-    return own
+    article, part = F.col("class") == "article", F.col("class").isin("headline", "author")
+    owned = _owner(boxes, page, F.col("class") == "headline").where(article | (part & F.col(page).isNotNull() & F.col("id").isNotNull()))
+    return owned.withColumn("full_article_id", F.when(article, F.col("id") + 1).otherwise(F.col("full_article_id")))
 
 
 def above_pictures(boxes: DataFrame, page: str = "scan_id") -> DataFrame:

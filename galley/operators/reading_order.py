@@ -52,12 +52,18 @@ def row_order(boxes: DataFrame, keys=("scan_id",), margin: float = ROW_MARGIN) -
     return _order(boxes, list(keys), margin, True, False)
 
 
-def lead_order(boxes: DataFrame, keys=("scan_id",), classes=("headline", "author")) -> DataFrame:
-    """Headlines and bylines of an article: by y0, numbered -n..-1."""
+def with_lead_order(boxes: DataFrame, keys=("scan_id",), classes=("headline", "author")) -> DataFrame:
+    """Adds reading_order_id to headlines and bylines of an article: by y0, numbered -n..-1; null for all others."""
     pos = "pos" if "pos" in boxes.columns else "id"
-    group = Window.partitionBy(*keys)
+    lead = F.coalesce(F.col("class").isin(*classes), F.lit(False))
+    group = Window.partitionBy(*keys, lead)
     order = F.row_number().over(group.orderBy("y0", pos)) - 1 - F.count("*").over(group)
-    return boxes.where(F.col("class").isin(*classes)).select(*keys, "id", order.cast("int").alias("reading_order_id"))
+    return boxes.withColumn("reading_order_id", F.when(lead, order.cast("int")))
+
+
+def lead_order(boxes: DataFrame, keys=("scan_id",), classes=("headline", "author")) -> DataFrame:
+    """(keys, id, reading_order_id) of headlines and bylines of an article."""
+    return with_lead_order(boxes.where(F.col("class").isin(*classes)), keys, classes).select(*keys, "id", "reading_order_id")
 
 
 def reading_order(boxes: DataFrame, page: str = "scan_id", margin: float = COLUMN_MARGIN) -> DataFrame:

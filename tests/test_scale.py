@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from galley.functions import geometry as G
 from galley.functions import spell
-from galley.operators import nms
+from galley.operators import association, nms, reading_order
 
 
 def plan(df) -> str:
@@ -73,3 +73,14 @@ def test_pages_are_suppressed_together_as_each_alone():
             for a, b in zip(starts, starts[1:]):
                 alone = nms.greedy_nms(boxes[a:b], -np.arange(b - a, dtype=float), limit)[:most]
                 assert [i for _, i in sorted((r, i) for i, r in enumerate(rank[a:b]) if r >= 0)] == alone
+
+
+def test_articles_are_found_without_a_second_shuffle(spark):
+    rows = [(1, 0, "article", 0, 50, 40, 90), (1, 1, "headline", 5, 30, 45, 45), (1, 2, "author", 5, 46, 45, 49), (1, 3, "photograph", 0, 0, 9, 9), (1, 4, "article", 0, 60, 40, 80), (None, 5, "headline", 5, 30, 45, 45)]
+    d = spark.createDataFrame(rows, "scan_id int, id int, class string, x0 int, y0 int, x1 int, y1 int")
+    own = association.article_ids(association.with_page_extent(d)).where("full_article_id IS NOT NULL")
+    lead = reading_order.with_lead_order(own, ("scan_id", "full_article_id"))
+    got = lead.groupBy("scan_id", "full_article_id").agg(F.sort_array(F.collect_list(F.struct("id", "reading_order_id"))).alias("b"))
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange hashpartitioning") == 1 and "Join" not in physical
+    assert {r.full_article_id: [tuple(b) for b in r.b] for r in got.collect()} == {1: [(0, None), (1, -2), (2, -1)], 5: [(4, None)]}

@@ -181,8 +181,12 @@ def is_banner(b, page_w: Column, page_h: Column, lines: Column) -> Column:
 def segment_to_box(points: Column, w: Column, h: Column) -> Column:
     """Bounding box of a segment's points inside the image; null if none is."""
     inside = F.filter(points, lambda p: (p["x"] >= 0) & (p["y"] >= 0) & (p["x"] <= w) & (p["y"] <= h))
-    xs, ys = F.transform(inside, lambda p: p["x"]), F.transform(inside, lambda p: p["y"])
-    return F.when(F.size(inside) > 0, make(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)))
+
+    def ends(found: Column) -> Column:
+        xs, ys = F.transform(found, lambda p: p["x"]), F.transform(found, lambda p: p["y"])
+        return F.when(F.size(found) > 0, make(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)))
+
+    return bound(inside, ends)
 
 
 def segment_point(points: Column, i: Column, n: int = 1000) -> Column:

@@ -231,14 +231,17 @@ def coco_image(name: Column, w: Column, h: Column, image_id: Column) -> Column:
 def border_median(image: Column, channels: int = 3) -> Column:
     """Per channel the median (cut to a whole number) of the four edges of an image, an array of rows of pixels;
     corners count twice.  It fills what is padded."""
-    edge = F.concat(F.transform(image, lambda r: F.element_at(r, -1)), F.transform(image, lambda r: r[0]), image[0], F.element_at(image, -1))
+    def values(edge: Column, c: int) -> Column:
+        return F.sort_array(F.transform(edge, lambda p: p[c]))  # nulls first; they count as the largest
 
-    def middle(c: int) -> Column:
-        v = F.array_sort(F.transform(edge, lambda p: p[c]))
-        n = F.size(v)
-        return F.floor((F.get(v, F.floor((n - 1) / 2).cast("int")) + F.get(v, F.floor(n / 2).cast("int"))) / 2).cast("int")
+    def middle(v: Column) -> Column:
+        n, nulls = F.size(v), F.size(v) - F.size(F.array_compact(v))
+        return F.floor((F.get(v, nulls + F.shiftright(n - 1, 1)) + F.get(v, nulls + F.shiftright(n, 1))) / 2).cast("int")
 
-    return F.array(*[middle(c) for c in range(channels)])
+    def edge(i: Column) -> Column:
+        return F.concat(F.transform(i, lambda r: F.element_at(r, -1)), F.transform(i, lambda r: r[0]), i[0], F.element_at(i, -1))
+
+    return bound(bound(image, edge), lambda e: F.array(*[bound(values(e, c), middle) for c in range(channels)]))
 
 
 def yolo_box(percent_x, percent_y, percent_w, percent_h) -> Column:

@@ -84,3 +84,17 @@ def test_articles_are_found_without_a_second_shuffle(spark):
     physical = got._jdf.queryExecution().executedPlan().toString()
     assert physical.count("Exchange hashpartitioning") == 1 and "Join" not in physical
     assert {r.full_article_id: [tuple(b) for b in r.b] for r in got.collect()} == {1: [(0, None), (1, -2), (2, -1)], 5: [(4, None)]}
+
+
+def test_border_medians_sort_each_channel_once(spark):
+    image = [[[4, 1], [9, None], [2, 5]], [[7, 0], [1000, 1000], [3, 8]], [[6, 2], [5, 5], [1, None]]]
+    d = spark.createDataFrame([(image,), ([[[3, 4]]],), (None,)], "i array<array<array<int>>>").select(G.border_median(F.reverse(F.reverse("i")), 2).alias("m"))
+    assert plan(d).count("reverse(reverse(") == 1 and plan(d).count("sort_array(") == 2
+    # Twelve values each: 1 1 2 2 3 4 4 5 6 6 7 9, and 0 1 1 2 2 5 5 5 8 with three nulls as the largest.
+    assert [r.m for r in d.collect()] == [[4, 5], [3, 4], [None, None]]
+
+
+def test_a_segment_s_box_finds_its_inner_points_once(spark):
+    d = spark.createDataFrame([([(1.0, 2.0), (3.0, 9.0), (2.0, 1.0)],), ([(7.0, 7.0)],), (None,)], "s array<struct<x double, y double>>")
+    b = d.select(G.segment_to_box(F.col("s"), F.lit(5), F.lit(5)).alias("b"))
+    assert plan(b).count("filter(") == 1 and [r.b and tuple(r.b) for r in b.collect()] == [(1, 1, 2, 2), None, None]
